@@ -68,7 +68,7 @@ class Grid:
         return (y >= self.h).astype(np.int8) - (y <= -self.h).astype(np.int8)
 
 
-def learn_grid(sample: np.ndarray, h: float = 0.45, floor: float = 1.3) -> Grid:
+def learn_grid(sample: np.ndarray, h: float = 0.45, floor: float = 1.5) -> Grid:
     """Principal axes that stand out of the noise, rotated so that each points at a dense region.
 
     An axis stands out if its second moment is ``floor`` times the median of the lower half.  The rotation is the
