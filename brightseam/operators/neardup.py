@@ -1,0 +1,63 @@
+"""Near duplicates by blocked Hamming comparison of three 64-bit signatures."""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.scalars import bits, hamming
+
+
+def vector_signatures(df: DataFrame, key: str, vector: str) -> DataFrame:
+    """(key, phash, dhash, whash) of 64-number vectors: above the median, next above this one, above zero; first number first.
+
+    Any other vector gives NULL signatures.
+    """
+
+    def sign(batches):
+        for b in batches:
+            cols: list[list[str | None]] = [[], [], []]
+            for v in b.column(1).to_pylist():
+                if v is None or len(v) != 64 or None in v:
+                    for c in cols:
+                        c.append(None)
+                    continue
+                x = np.array(v, np.float64)
+                for c, bit in zip(cols, (x > np.median(x), np.append(x[1:] > x[:-1], False), x > 0), strict=True):
+                    c.append(np.packbits(bit).tobytes().hex())
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, pa.string()) for c in cols]], [key, "phash", "dhash", "whash"])
+
+    kind = dict(df.dtypes)[key]
+    return df.select(key, vector).mapInArrow(sign, f"`{key}` {kind}, phash string, dhash string, whash string")
+
+
+def near_pairs(items: DataFrame, prefix: int = 4, limit: int = 4, votes: int = 2) -> DataFrame:
+    """Pairs of equal phash prefix, different content, whose signatures differ by at most ``limit`` bits in ``votes`` of three.
+
+    ``items``: ord (unique), path, label, class_name, sha256, phash, dhash, whash.  The member with the smaller ``ord`` is
+    A.  The prefix is an equality key of the join, so only equal blocks meet, and the join spills and splits like any
+    other; cheap conditions stand in the join and the distances in its residual.
+    """
+    x = items.where("phash is not null").select(
+        "ord", "path", "label", "class_name", "sha256", F.substring("phash", 1, prefix).alias("block"), *[bits(F.col(h)).alias(h) for h in ("phash", "dhash", "whash")]
+    )
+    a, b = x.alias("a"), x.alias("b")
+    d = {h: hamming(F.col(f"a.{h}"), F.col(f"b.{h}")) for h in ("phash", "dhash", "whash")}
+    agree = sum(((v <= limit).cast("int") for v in d.values()), F.lit(0))
+    cond = (F.col("a.block") == F.col("b.block")) & (F.col("a.ord") < F.col("b.ord")) & ~F.col("a.sha256").eqNullSafe(F.col("b.sha256")) & (agree >= votes)
+    return a.join(b, cond).select(
+        F.col("a.path").alias("path_a"), F.col("a.label").alias("label_a"), F.col("a.class_name").alias("class_a"), F.col("b.path").alias("path_b"), F.col("b.label").alias("label_b"), F.col("b.class_name").alias("class_b"),
+        *[v.alias(f"{h}_distance") for h, v in d.items()], agree.alias("matching_hashes"), F.when(F.col("a.label") != F.col("b.label"), "True").otherwise("False").alias("cross_label"),
+    )
+
+
+def pair_order() -> list:
+    """Cross-label first, then the sum of distances, then paths."""
+    return [F.desc("cross_label"), F.col("phash_distance") + F.col("dhash_distance") + F.col("whash_distance"), F.col("path_a"), F.col("path_b")]
+
+
+def near_summary(items: DataFrame, pairs: DataFrame) -> DataFrame:
+    n = items.agg(F.count("phash").alias("hashed"))
+    return n.crossJoin(pairs.agg(F.count(F.lit(1)).alias("pairs"), F.count_if(F.col("cross_label") == "True").alias("cross_label_pairs")))  # one row by one row
