@@ -79,13 +79,15 @@ def component_groups(manifest: DataFrame, edges: DataFrame) -> tuple[DataFrame,
     g = members.groupBy("root").agg(F.count(F.lit(1)).alias("group_size"), *[F.count_if(F.col("label") == k).alias(f"n{k}") for k in "012"])
     src = edges.join(comp.withColumnRenamed("node", "left"), "left").groupBy("root").agg(F.array_join(F.array_sort(F.collect_set("source")), "|").alias("sources"))
     g = scratch.cut(g.join(src, "root", "left").withColumn("sources", F.coalesce("sources", F.lit("singleton"))), "groups")
-    return members, number_by(g, "root", "group_no").withColumn("group_id", F.format_string("G%05d", "group_no")).drop("group_no")
+    return members, number_by(g, ["root"], "group_no").withColumn("group_id", F.format_string("G%05d", "group_no")).drop("group_no")
 
 
-def number_by(df: DataFrame, column: str, out: str, ranges: int = 64) -> DataFrame:
-    """Rows numbered from 1 in the order of a unique column: ranges are numbered apart and moved up by the rows before."""
-    parts = df.repartitionByRange(ranges, column).withColumn("__p", F.spark_partition_id())
+def number_by(df: DataFrame, columns: list[str], out: str, ranges: int = 64) -> DataFrame:
+    """Rows numbered from 1 in the order of ``columns`` (NULL first): ranges are numbered apart and moved up by the rows
+    before, so no task holds all rows.  Rows equal in all of them are numbered in any order."""
+    parts = df.repartitionByRange(ranges, *columns).withColumn("__p", F.spark_partition_id())
     parts = Scratch(df.sparkSession, "number").cut(parts, "ranges")
-    before = parts.groupBy("__p").agg(F.count(F.lit(1)).alias("__c")).withColumn("__b", F.coalesce(F.sum("__c").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    w = Window.partitionBy("__p").orderBy(column)
+    w_before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    before = parts.groupBy("__p").agg(F.count(F.lit(1)).alias("__c")).withColumn("__b", F.coalesce(F.sum("__c").over(w_before), F.lit(0)))
+    w = Window.partitionBy("__p").orderBy(*columns)
     return parts.withColumn("__i", F.row_number().over(w)).join(before, "__p").withColumn(out, F.col("__i") + F.col("__b")).drop("__p", "__c", "__b", "__i")

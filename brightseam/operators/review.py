@@ -9,6 +9,7 @@ from ..errors import ContractError
 from ..functions.dirt import is_blank, strip
 from ..functions.scalars import action_columns, padded_id, split_list
 from ..schemas import LABELS, MANIFEST
+from .components import number_by
 
 
 def union_batches(batches: list[tuple[str, DataFrame]], columns: list[str]) -> DataFrame:
@@ -82,23 +83,24 @@ def manifest_violations(rows: DataFrame, listing: DataFrame | None = None) -> Da
     return out
 
 
-def exact_folders(exact: DataFrame, order: str = "sha256") -> DataFrame:
+def exact_folders(exact: DataFrame, order: list[str]) -> DataFrame:
     """(folder, type, path_a, path_b, members) of each group, numbered in the given order; the first two members are the pair."""
-    w = Window.orderBy(order, "paths")
-    e = exact.withColumn("i", F.row_number().over(w)).withColumn("m", split_list(F.col("paths")))
+    e = number_by(exact, order, "i").withColumn("m", split_list(F.col("paths")))
     return e.select(F.concat(F.lit("exact/"), padded_id("exact_", F.col("i"), 4)).alias("folder"), F.lit("exact").alias("type"), F.get("m", F.lit(0)).alias("path_a"), F.get("m", F.lit(1)).alias("path_b"), F.size("m").alias("members"))
 
 
 def near_folders(pairs: DataFrame, order: list[str]) -> DataFrame:
     """(folder, type, path_a, path_b, members) of each near pair, numbered by kind in the given order."""
     kind = F.when(F.col("cross_label") == "True", "near_cross").otherwise("near_same")
-    p = pairs.withColumn("type", kind).withColumn("i", F.row_number().over(Window.partitionBy("type").orderBy(*order)))
+    p = number_by(pairs.withColumn("type", kind), ["type", *order], "i")
+    first = p.groupBy("type").agg(F.min("i").alias("first"))
+    p = p.join(F.broadcast(first), "type").withColumn("i", F.col("i") - F.col("first") + 1)  # two kinds
     return p.select(F.concat("type", F.lit("/"), F.format_string("%s_%04d", "type", "i")).alias("folder"), "type", "path_a", "path_b", F.lit(2).alias("members"))
 
 
 def review_queue(exact: DataFrame, pairs: DataFrame, order: list[str]) -> DataFrame:
     """Rows for the reviewer: folder, blank decision, guide, notes."""
-    both = exact_folders(exact).unionByName(near_folders(pairs, order))
+    both = exact_folders(exact, ["sha256", "paths"]).unionByName(near_folders(pairs, order))
     return both.select("folder", F.lit("").alias("decision"), F.lit("a = keep A, b = keep B, both = keep both together, ignore = not duplicates").alias("guide"), F.when(F.col("members") > 2, F.format_string("%d members", "members")).otherwise("").alias("notes"))
 
 
