@@ -1,0 +1,185 @@
+"""Core operators against small tables and plain Python."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from brightseam.errors import ContractError, MissingInputError
+from brightseam.functions import dirt, ranking, scalars
+from brightseam.operators import audit, cluster, components, embed, neardup, reports, review, split
+from brightseam.sources import files, sinks
+
+
+def col(spark, values, f, kind="string"):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {kind}")
+    return [r[1] for r in df.select("i", f(F.col("v"))).orderBy("i").collect()]
+
+
+def test_dirty_values(spark):
+    assert col(spark, [" 0", "00", "1.0", "ORGANIC", "0_Recyclable", "9", "", None, "2 ", "0_Organic"], dirt.class_label) == ["0", "0", "1", "2", "0", None, None, None, "2", None]
+    assert col(spark, ["640", "640.0", "640px", "1,024", "-3", "nan", "?", "0", None, "1e3"], dirt.positive_number) == [640, 640, 640, 1024, None, None, None, None, None, 1000]
+    a = "train/0_Recyclable/R_a b.jpg"
+    spelled = [a, "./train/0_Recyclable/R_a b.jpg", "train\\0_Recyclable\\R_a b.jpg", "train//0_Recyclable/./R_a b.jpg", "TRAIN/0_recyclable/r_A B.jpg\n", " train/0%5FRecyclable/R_a%20b.jpg", "file:///x/y/train/0_Recyclable/R_a b.jpg", "/q/" + a]
+    assert set(col(spark, spelled, dirt.image_key)) == {a.lower()}
+    assert col(spark, ["%zz", None, "", "x+y"], dirt.image_key) == ["%zz", None, "", "x+y"]
+    h = "AB" * 32
+    assert col(spark, [h, "sha256:" + h, " " + h, h[:-1], None, "SHA256=" + h], dirt.sha256_digest) == [h.lower(), h.lower(), h.lower(), None, None, h.lower()]
+    names = ["t/0/R_bk07_000001_5.jpg", "t/0/thumb_R_bk07-00001-v2.jpg", "t/0/R_20260419_bk07_000012_0.jpg", "t/0/R.Bk07.12.003.png", "t/0/R_bk07000012s3.jpeg", "t/0/R_bk07_obj12_1.webp", "t/0/odd.jpg", None]
+    assert col(spark, names, dirt.object_entity) == ["bk07-1", "bk07-1", "bk07-12", "bk07-12", "bk07-12", "bk07-12", None, None]
+    assert col(spark, ["C7", "c007", "cluster 7", " 7", "-1", "?", None, "C123"], dirt.cluster_name) == ["C07", "C07", "C07", "C07", None, None, None, "C123"]
+    assert col(spark, ["1", "True", " 1", "1.0", "0", "", None], dirt.flag) == [True] * 4 + [False] * 3
+
+
+def test_spread_row_number_equals_one_window(spark):
+    rows = [(random.Random(i).randint(0, 3), i) for i in range(500)] + [(None, 900), (None, 901)]
+    df = spark.createDataFrame(rows, "g int, i int").withColumn("u", ranking.unit_hash("i"))
+    got = {(r["g"], r["i"]): r["k"] for r in ranking.spread_row_number(df, ["g"], ["i"], "k", rows_per_task=20, u="u").collect()}
+    for g in (0, 1, 2, 3, None):
+        own = sorted(((r["u"], r["i"]) for r in df.where(F.col("g").eqNullSafe(F.lit(g))).collect()))
+        assert [got[g, i] for _, i in own] == list(range(1, len(own) + 1))
+
+
+def test_scalars(spark):
+    df = spark.createDataFrame([(0.3203125, 5.0, float("nan"))], "a double, n double, z double")
+    r = df.select(scalars.fixed6(F.col("a")), scalars.fixed6(F.col("z")), scalars.fixed6(F.lit(None).cast("double")), scalars.bankers_target(F.lit(5), 0.5), scalars.padded_id("G", F.lit(123456), 5), scalars.ratio6(F.lit(1), F.lit(0))).first()
+    assert list(r) == ["0.320312", "nan", "", 2, "G123456", None]
+    assert col(spark, ["f" * 16, "0" * 16], lambda c: scalars.hamming(scalars.bits(c), F.lit(0).cast("bigint"))) == [64, 0]
+    with pytest.raises(Exception, match="unknown decision"):
+        spark.createDataFrame([("x",)], "d string").select(*scalars.action_columns(F.col("d"), F.lit("a"), F.lit("b"))).collect()
+
+
+def brute(edges):
+    up = {}
+
+    def find(x):
+        up.setdefault(x, x)
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        up[max(a, b)] = min(a, b)
+    return {x: find(x) for x in up}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components(spark, seed):
+    rng = random.Random(seed)
+    edges = [(f"n{rng.randint(0, 60):02d}", f"n{rng.randint(0, 60):02d}") for _ in range(45)] + [(f"p{i:02d}", f"p{i + 1:02d}") for i in range(20)]
+    got = dict(map(tuple, components.connected_components(spark.createDataFrame(edges, "left string, right string")).collect()))
+    assert got == brute(edges)
+    assert components.connected_components(spark.createDataFrame([], "left string, right string")).count() == 0
+
+
+@pytest.mark.parametrize("target", [0, 7, 40, 10_000])
+def test_first_fit(spark, target):
+    rng = random.Random(target)
+    rows = [(f"G{i:05d}", rng.choice([1, 1, 1, 2, 3, 9, 14]), rng.random()) for i in range(60)]
+    got = {r[0] for r in split.first_fit(spark.createDataFrame(rows, "group_id string, group_size bigint, draw double"), target).collect()}
+    left, want = target, set()
+    for g, n, _ in sorted(rows, key=lambda r: r[2]):
+        if n <= left:
+            want.add(g)
+            left -= n
+    rest = sorted((abs(n - left), g) for g, n, _ in rows if g not in want)
+    if left and rest and rest[0][0] < left:
+        want.add(rest[0][1])
+    assert got == want
+
+
+def test_review(spark):
+    rows = spark.createDataFrame([("1", "a", "0", "x", " 1", ""), ("2", "a", "0", "x", "0", ""), ("3", "b", "5", "x", "7", None), ("4", " ", None, "x", "2", "why")], "image_id string, path string, current_label string, class_name string, review_status string, reason string")
+    e = {(r["rule"], r["path"]): r["n"] for r in review.review_errors(rows, spark.createDataFrame([("a",), ("c",)], "path string")).collect()}
+    assert e == {("blank_path", ""): 1, ("bad_status", "b"): 1, ("duplicate_path", "a"): 2, ("unknown_path", "b"): 1, ("unreviewed_path", "c"): 1, ("missing_reason", "a"): 1}
+    with pytest.raises(ContractError, match="unreviewed_path: c"):
+        review.require_no_errors(review.review_errors(rows, spark.createDataFrame([("a",), ("c",)], "path string")), "bad")
+    assert review.status_manifest(rows, "remove").count() == 1
+    fixed = review.apply_overrides(rows, spark.createDataFrame([("b", "1", "told")], "path string, review_status string, reason string"))
+    assert fixed.where("review_status = '1' and reason = 'told'").count() == 1
+    acts = spark.createDataFrame([("f1", "exact", "a", "a", "b", ""), ("f2", "exact", "b", "b", "a", ""), ("f3", "near", "both", "", "", "x|y")], "folder string, type string, decision string, keep_path string, remove_path string, group_paths string")
+    kept = rows.where("trim(path) <> ''").dropDuplicates(["path"])
+    assert review.clean_manifest(kept, acts).count() == 0 and review.removed_manifest(kept, acts).count() == 2
+    assert [tuple(r)[1:3] for r in review.group_pairs(acts).collect()] == [("x", "y")]
+
+
+def test_audit_and_near(spark):
+    df = spark.createDataFrame([(1, "t"), (2, "t"), (3, None), (4, "u")], "i int, t string").withColumn("s", F.sha2("t", 256))
+    assert [tuple(r)[1:] for r in audit.exact_groups(df, "s", "i", "i").collect()] == [(2, "1|2")]
+    items = [(1, "a", "0", "c", "s1", "00000000000000ff", "0" * 16, "0" * 16), (2, "b", "1", "c", "s2", "00000000000000fe", "000000000000000f", "f" * 16), (3, "c", "1", "c", "s2", None, None, None), (4, "d", "1", "c", "s1", "00000000000000ff", "0" * 16, "0" * 16), (5, "e", "0", "c", "s3", "f" * 16, "0" * 16, "0" * 16)]
+    i = spark.createDataFrame(items, "ord int, path string, label string, class_name string, sha256 string, phash string, dhash string, whash string")
+    got = {(r["path_a"], r["path_b"], r["matching_hashes"], r["cross_label"]) for r in neardup.near_pairs(i).collect()}
+    assert got == {("a", "b", 2, "True"), ("b", "d", 2, "False")}
+    v = spark.createDataFrame([(1, [float(x) for x in range(64)]), (2, None)], "i int, v array<float>")
+    assert {tuple(r) for r in neardup.vector_signatures(v, "i", "v").collect()} == {(1, "00000000ffffffff", "fffffffffffffffe", "7fffffffffffffff"), (2, None, None, None)}
+
+
+def test_reports(spark):
+    a = spark.createDataFrame([("p1", "0", "C00", "0.100000", "train"), ("p2", "1", "C00", "0.300000", "train"), ("p3", "0", "C00", "0.200000", "train"), ("p4", "1", "C01", "0.5", "val")], "path string, label string, cluster_id string, distance_to_centroid string, split string")
+    spine = spark.createDataFrame([("C00",), ("C01",), ("C02",)], "cluster_id string")
+    s = {r["cluster_id"]: r for r in reports.cluster_summary(a.where("split = 'train'"), a.where("split = 'val'"), spine).collect()}
+    assert (s["C00"]["dominant_train_label"], s["C00"]["label_entropy"], s["C00"]["assigned_centroid_distance_median"]) == ("0", "0.636514", "0.200000")
+    assert (s["C02"]["train_count"], s["C02"]["dominant_train_label"], s["C02"]["label_entropy"]) == (0, "", "0.000000")
+    c = {r["cluster_id"]: r["coverage_note"] for r in reports.validation_coverage(a.where("split = 'train'"), a.where("split = 'val'"), spine).collect()}
+    assert c == {"C00": "missing_in_val", "C01": "ok", "C02": "missing_in_val"}
+    r = reports.representatives(a, 1)
+    assert {(x["path"], x["representative_type"]) for x in r.where("split = 'train'").collect()} == {("p1", "nearest"), ("p2", "farthest")}
+    assert reports.representatives(a, 0).count() == 0
+    assert reports.macro_f1(spark.createDataFrame([("0", "0"), ("1", "0")], "truth string, guess string"), ["0", "1", "2"]).first()[0] == pytest.approx(0.222222)
+
+
+def test_clusters(spark):
+    rng = random.Random(5)
+    rows = [(i, [rng.gauss(8 * (i % 3), 1), rng.gauss(0, 1)], i % 3) for i in range(120)]
+    df = spark.createDataFrame(rows, "i int, v array<double>, c int")
+    d = cluster.k_diagnostics(df, "i", "v", [2, 3], [1, 2], tiny=3)
+    assert cluster.select_k(d).first()["k"] == 3
+    with pytest.raises(ContractError):
+        cluster.k_diagnostics(df, "i", "v", [1], [1])
+    assert 0.5 < cluster.silhouette(df, "i", "v", "c") <= 1
+    two = df.select("c", (2 - F.col("c")).alias("d"))
+    assert cluster.adjusted_rand(two, "c", "d").first()[0] == 1.0
+    lone = df.select(F.lit(0).alias("c"), F.lit(0).alias("d"))
+    assert cluster.adjusted_rand(lone, "c", "d").first()[0] == 1.0
+
+
+def test_files(spark, tmp_path):
+    m = spark.createDataFrame([("1", 'tr"a,in/a', "0", "x", "0", None), ("2", "line\nbreak", "1", "y", "1", "")], "image_id string, path string, current_label string, class_name string, review_status string, reason string")
+    out = str(tmp_path / "m")
+    sinks.write_table(m, out, "manifest", order=["image_id"])
+    back = files.read_manifest(spark, out, "manifest", order=True, exact_header=True)
+    assert [tuple(r)[:6] for r in back.orderBy("_ord").collect()] == [("1", 'tr"a,in/a', "0", "x", "0", ""), ("2", "line\nbreak", "1", "y", "1", "")]
+    with pytest.raises(MissingInputError):
+        files.read_manifest(spark, str(tmp_path / "none"), "manifest")
+    with pytest.raises(ContractError):
+        files.read_manifest(spark, out, "review_batch")
+    (tmp_path / "train" / "0_x").mkdir(parents=True)
+    (tmp_path / "train" / "0_x" / "a.png").write_bytes(b"\x89PNG\r\n\x1a\n" + b"\0\0\0\rIHDR" + (7).to_bytes(4, "big") + (5).to_bytes(4, "big"))
+    (tmp_path / "train" / "0_x" / "b.jpg").write_bytes(b"junk")
+    assert {r[0] for r in files.list_files(spark, str(tmp_path / "train")).collect()} == {"train/0_x/a.png", "train/0_x/b.jpg"}
+    raw = files.read_bytes(spark, str(tmp_path / "train/*/*"))
+    info = {r["path"]: (r["width"], r["height"]) for r in files.image_info(raw).collect()}
+    assert info["train/0_x/b.jpg"] == (None, None)
+    queue = spark.createDataFrame([("f", "a", "", "")], "folder string, decision string, guide string, notes string")
+    sinks.replace_queue(queue, str(tmp_path / "q"))
+    with pytest.raises(ContractError, match="decisions"):
+        sinks.replace_queue(queue, str(tmp_path / "q"))
+
+
+def test_embed(spark):
+    rows = spark.createDataFrame([(i * 3, i % 4 != 0) for i in range(50)], "o bigint, ok boolean")
+    got = {r["o"]: r["row_no"] for r in embed.number_valid(rows, "ok", "o").collect()}
+    want = {o: k for k, o in enumerate(i * 3 for i in range(50) if i % 4)}
+    assert got == want | {i * 3: None for i in range(50) if i % 4 == 0}
+    img = spark.createDataFrame([("a", b"xy"), ("b", b"")], "path string, content binary")
+    out = {r["path"]: r for r in embed.extract(img, lambda: lambda c: [1.0 / len(c)]).collect()}
+    assert out["a"]["embedding"] == [0.5] and "ZeroDivisionError" in out["b"]["embedding_error"]
+    s = {r["state"]: r["n"] for r in embed.cache_state(img, spark.createDataFrame([("a",), ("z",)], "path string")).collect()}
+    assert s == {"cached": 1, "missing": 1, "stale": 1}
+
+
+def test_entry_has_sql_for_each_name():
+    import __spark_entry__ as e
+
+    assert set(e.oracle_sql()) <= set(e.queries())
