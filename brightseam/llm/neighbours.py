@@ -23,7 +23,10 @@ FAR = 20
 #: Rows that one task indexes; a larger region is cut by the leading bits of its substrings.
 ROWS_PER_TASK = 200_000
 #: A vector is also indexed in the second nearest region if that is nearer than this.
-MARGIN = 0.05
+MARGIN = 0.1
+#: A dense cell is a region of its own only if its vectors' mean cosine with their centre is below this: offsets within a
+#: tighter one are noise.  A vector whose cosine with every region is below COMMON belongs to the common region.
+TIGHT, COMMON = 0.85, 0.4
 
 
 class Code:
@@ -38,15 +41,15 @@ class Code:
             inverse = inverse.ravel()
             dense = np.argsort(-n, kind="stable")[:regions]
             centres = [sample[inverse == c].mean(0) for c in dense if n[c] >= max(4, 0.002 * len(sample))]
-        if not centres:
-            centres = [sample.mean(0) if len(sample) else np.zeros(DIM)]
-        self.centres = np.array(centres, np.float32)
+        centres = [c for c in centres if np.linalg.norm(c) < TIGHT]
+        common = sample.mean(0) if len(sample) else np.zeros(DIM)
+        self.centres = np.array([*centres, common], np.float32)
         length = np.linalg.norm(self.centres, axis=1, keepdims=True)
         self.directions = self.centres / np.where(length > 0, length, 1)
         rng = np.random.default_rng(63)
         r = np.linalg.qr(rng.normal(size=(DIM, DIM)))[0]
         if len(sample):
-            z = (sample - self.centres[(sample @ self.directions.T).argmax(1)]).astype(np.float64)
+            z = (sample - self.centres[self.regions(sample)[0]]).astype(np.float64)
             for _ in range(rounds):  # rotation that brings the offsets nearest to the corners of a cube
                 a, _, b = np.linalg.svd(np.sign(z @ r).T @ z)
                 r = (a @ b).T
@@ -55,6 +58,7 @@ class Code:
     def regions(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The nearest region of each row, and the second nearest or -1 if that is clearly farther."""
         cos = x @ self.directions.T
+        cos[:, -1] = COMMON
         first = cos.argmax(1)
         if cos.shape[1] == 1 or not len(x):
             return first, np.full(len(x), -1)

@@ -27,7 +27,13 @@ def divisor_quotas(rows: list[tuple[str, float, int, int]], size: int) -> dict[s
 
     def upto(limit: float) -> dict[str, int]:
         """Records of each category with priority of at most ``limit``."""
-        return {c: max(take[c], min(n, int(limit * s + 0.5))) for c, (s, n) in room.items()}
+        got = {}
+        for c, (s, n) in room.items():
+            k = min(n, int(limit * s + 1.5))
+            while k > 0 and (k - 0.5) / s > limit:
+                k -= 1
+            got[c] = max(take[c], k)
+        return got
 
     lo, hi = 0.0, max(((n + 1) / s for s, n in room.values()), default=0.0)
     if sum(n - take[c] for c, (_, n) in room.items()) <= left:
@@ -81,15 +87,17 @@ def manifest_labels(spark: SparkSession, folder: str, known_only: bool = True) -
 def proportional_sample(records: DataFrame, targets: DataFrame, seed: int = 63) -> DataFrame:
     """(request_id, label, id..) of the records drawn for each request.
 
-    ``records``: distinct (id, label) and further columns.  A label's records are put in one random order, the same
+    ``records``: distinct (id, label) and further columns, kept unless named request_id.  A label's records are put in one random order, the same
     for each request; a request takes the first of each label as far as the report says.
     """
     scratch = Scratch(records.sparkSession, "sample")
-    pool = scratch.cut(records.withColumn("u", unit_hash("id", "label", seed=seed)), "pool")
+    rest = [c for c in records.columns if c not in ("id", "label", "request_id")]
+    pool = records.select("id", "label", F.struct(F.lit(0).alias("_"), *rest).alias("__rest"), unit_hash("id", "label", seed=seed).alias("u"))
+    pool = scratch.cut(pool, "pool")
     counts = pool.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     quota = scratch.cut(sampling_report(counts, targets).where("taken > 0").select("request_id", "label", "taken"), "quota")
     ranked = spread_row_number(pool, ["label"], ["id"], "rank", u="u", sizes=counts.withColumnRenamed("n", "__n"))
-    return ranked.join(quota, "label").where("rank <= taken").select("request_id", *records.columns)
+    return ranked.join(quota, "label").where("rank <= taken").select("request_id", "id", "label", *[F.col(f"__rest.`{c}`").alias(c) for c in rest])
 
 
 def p6_report(spark: SparkSession, folder: str) -> DataFrame:

@@ -101,7 +101,8 @@ def grouped_split(
 ) -> DataFrame:
     """Each record with ``root``, ``group_size`` and ``split``: records linked directly or not share a split.
 
-    ``records``: id (unique), label (NULL counts as a label of its own) and further columns.  ``edges``:
+    ``records``: id (unique), label (NULL counts as a label of its own) and further columns, which are kept unless
+    they are named like a column added here.  ``edges``:
     (u, v) over ids.  The totals of each label follow the shares as closely as whole groups allow.  Only the
     table of classes of groups (label counts of a group and how many such groups) comes to the driver: it
     grows with the number of different group sizes, not with the records.  Empty tables give no rows.
@@ -109,6 +110,8 @@ def grouped_split(
     spark = records.sparkSession
     scratch = Scratch(spark, "split")
     comp = components(edges)
+    rest = [c for c in records.columns if c not in ("id", "label", "root", "group_size", "split")]
+    records = records.select("id", "label", F.struct(F.lit(0).alias("_"), *rest).alias("__rest"))
     tagged = records.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     tagged = scratch.cut(tagged, "tagged")
     sig = [F.count_if(F.col("label") == k).alias(f"n{k}") for k in labels] + [F.count_if(~F.coalesce(F.col("label").isin(*labels), F.lit(False))).alias("n_other")]
@@ -131,7 +134,7 @@ def grouped_split(
     for s in same:
         cond = cond & s
     chosen = ranked.join(cuts, cond).select(ranked["root"], ranked["group_size"], "split")
-    return tagged.join(chosen, "root").select(*records.columns, "root", "group_size", "split")
+    return tagged.join(chosen, "root").select("id", "label", *[F.col(f"__rest.`{c}`").alias(c) for c in rest], "root", "group_size", "split")
 
 
 def object_edges(records: DataFrame) -> DataFrame:
