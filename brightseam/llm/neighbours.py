@@ -278,23 +278,27 @@ def exact_scan(queries: DataFrame, vectors: DataFrame, k: int = 5, block: int =
         part = queries.where(F.pmod(F.xxhash64("row"), F.lit(blocks)) == i).select("row", "vec").toArrow()
         ids, q = part["row"].to_numpy(), matrix(part["vec"])
 
-        def scan(batches, ids=ids, q=q):
+        order_at = np.argsort(ids, kind="stable")
+        order_ids = ids[order_at]
+
+        def scan(batches, ids=ids, q=q, order_at=order_at, order_ids=order_ids):
             best = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+            least = np.full(len(q), -8.0, np.float32)  # what a query's row must reach to be among its k best so far
             for b in batches:
                 x, rows = matrix(b.column("vec")), b.column("row").to_numpy()
-                if not len(x):
-                    continue
-                for at in range(0, len(q), 2_000):
+                for at in range(0, len(q) if len(x) else 0, 2_000):
                     s = q[at : at + 2_000] @ x.T
                     s[ids[at : at + 2_000, None] == rows[None, :]] = -9
                     m = min(k, s.shape[1])
-                    top = np.argpartition(-s, m - 1, axis=1)[:, :m]
-                    val = np.take_along_axis(s, top, 1).ravel()
-                    pick = (np.repeat(ids[at : at + 2_000], m), rows[top].ravel(), val.astype(np.float64))
-                    ok = pick[2] > -8
-                    best = tuple(np.concatenate((u, v[ok])) for u, v in zip(best, pick, strict=True))
-                if len(best[0]) > 8 * k * max(1, len(q)):
-                    best = _best(*best, k)
+                    floor = np.maximum(least[at : at + 2_000], -np.partition(-s[:, :1_000], m - 1, axis=1)[:, m - 1] if s.shape[1] >= 1_000 else -8)
+                    r, c = np.nonzero(s >= floor[:, None])
+                    best = tuple(np.concatenate((u, v)) for u, v in zip(best, (ids[at : at + 2_000][r], rows[c], s[r, c].astype(np.float64)), strict=True))
+                best = _best(*best, k)
+                place = np.searchsorted(order_ids, best[0])
+                full = np.bincount(place, minlength=len(q)) >= k
+                low = np.full(len(q), np.inf)
+                np.minimum.at(low, place, best[2])
+                least[order_at[full]] = low[full]
             row, other, sim = _best(*best, k)
             yield pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array(other, pa.int64()), pa.array(sim, pa.float64())], ["row", "other", "similarity"])
 
