@@ -1 +1 @@
-
+"""Nothing streams: every step of the pipeline is a batch over whole tables."""

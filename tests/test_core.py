@@ -183,3 +183,31 @@ def test_entry_has_sql_for_each_name():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_command_line(spark, tmp_path):
+    from brightseam import cli
+
+    out = str(tmp_path)
+    m = [(str(i), f"train/x/{i}", str(i % 2), "c", "0", "") for i in range(40)]
+    sinks.write_table(spark.createDataFrame(m, "image_id string, path string, current_label string, class_name string, review_status string, reason string"), f"{out}/m", "manifest")
+    sinks.write_table(spark.createDataFrame([("s", "2", "train/x/0|train/x/2")], "sha256 string, count string, paths string"), f"{out}/e", "exact_duplicates")
+    pairs = spark.createDataFrame([("f", "train/x/1", "train/x/3", "r")], "source_folder string, path_a string, path_b string, reason string")
+    sinks.write_table(pairs, f"{out}/g", "dedup_group_pairs")
+    near = spark.createDataFrame([("train/x/3", "train/x/1")], "path_a string, path_b string")
+    for c in ("label_a", "class_a", "label_b", "class_b", "phash_distance", "dhash_distance", "whash_distance", "matching_hashes", "cross_label"):
+        near = near.withColumn(c, F.lit("False"))
+    sinks.write_table(near, f"{out}/n", "near_duplicate_pairs")
+    args = ["split", "--manifest", f"{out}/m", "--exact-duplicates", f"{out}/e", "--group-pairs", f"{out}/g", "--near-pairs", f"{out}/n", "--out", f"{out}/split"]
+    cli.main(args)
+    got = {s: {r["path"] for r in files.read_manifest(spark, f"{out}/split/{s}_manifest", "manifest").collect()} for s in ("train", "val")}
+    assert len(got["val"]) == 8 and len(got["train"]) == 32
+    for a, b in ((0, 2), (1, 3)):
+        assert (f"train/x/{a}" in got["val"]) == (f"train/x/{b}" in got["val"])
+    cli.main(["prepare-review", "--exact", f"{out}/e", "--near", f"{out}/n", "--out", f"{out}/r"])
+    assert files.read_manifest(spark, f"{out}/r/duplicate_review", "duplicate_review").count() == 2
+    rng = random.Random(1)
+    for s, n in (("train", 60), ("val", 20)):
+        spark.createDataFrame([(f"{s}{i}", str(i % 3), [rng.gauss(9 * (i % 3), 1), rng.gauss(0, 1)]) for i in range(n)], "path string, label string, embedding array<double>").write.parquet(f"{out}/{s}v")
+    cli.main(["cluster-diagnostics", "--train", f"{out}/trainv", "--val", f"{out}/valv", "--candidate-k", "2,3", "--final-n-init", "2", "--tiny-cluster-threshold", "3", "--out", f"{out}/c"])
+    assert files.read_manifest(spark, f"{out}/c/cluster_summary", "cluster_summary").count() == 3
