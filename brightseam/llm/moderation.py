@@ -59,8 +59,11 @@ def segments(text: str | None) -> list[str]:
 def words(segment: str) -> list[str]:
     """Words with the tricks of disguise undone: invisible marks, look-alike letters, spaced-out letters, digits for
     letters, stretched letters.  Masked letters become ``*``; a number becomes ``0``."""
-    s = unicodedata.normalize("NFD", unicodedata.normalize("NFKC", _LEAD.sub("", segment, count=1)))
-    s = unicodedata.normalize("NFC", _INVISIBLE.sub("", s)).casefold()
+    s = _LEAD.sub("", segment, count=1)
+    if not s.isascii():
+        s = unicodedata.normalize("NFD", unicodedata.normalize("NFKC", s))
+        s = unicodedata.normalize("NFC", _INVISIBLE.sub("", s))
+    s = s.casefold()
     s = _PATH.sub(" 0 ", s)
     s = _SPACED.sub(lambda m: _JOIN.sub("", m[0]), s)
     s = _RUN.sub(r"\1", s)
