@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import split_list
+from ..schemas import LABELS
 from ..scratch import Scratch
 
 
@@ -66,8 +67,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return known.union(alone.join(known, "node", "left_anti").select("node", F.col("node").alias("root")).distinct())
 
 
-def component_groups(manifest: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(members, groups).  members: path, label, root; groups: group_id, root, group_size, n0, n1, n2, sources.
+def component_groups(manifest: DataFrame, edges: DataFrame, labels: list[str] = LABELS) -> tuple[DataFrame, DataFrame]:
+    """(members, groups).  members: path, label, root; groups: group_id, root, group_size, n0, n1, n2 (n and each of ``labels``), sources.
 
     Paths without an edge are groups of their own with source ``singleton``.  Ids are numbered by root; the numbering
     is spread over ranges, so no task holds all roots.
@@ -76,7 +77,7 @@ def component_groups(manifest: DataFrame, edges: DataFrame) -> tuple[DataFrame,
     comp = scratch.cut(connected_components(edges), "components")
     rows = manifest.select("path", F.col("current_label").alias("label")).join(comp.withColumnRenamed("node", "path"), "path", "left").withColumn("root", F.coalesce("root", "path"))
     members = scratch.cut(rows, "members")
-    g = members.groupBy("root").agg(F.count(F.lit(1)).alias("group_size"), *[F.count_if(F.col("label") == k).alias(f"n{k}") for k in "012"])
+    g = members.groupBy("root").agg(F.count(F.lit(1)).alias("group_size"), *[F.count_if(F.col("label") == k).alias(f"n{k}") for k in labels])
     src = edges.join(comp.withColumnRenamed("node", "left"), "left").groupBy("root").agg(F.array_join(F.array_sort(F.collect_set("source")), "|").alias("sources"))
     g = scratch.cut(g.join(src, "root", "left").withColumn("sources", F.coalesce("sources", F.lit("singleton"))), "groups")
     return members, number_by(g, ["root"], "group_no").withColumn("group_id", F.format_string("G%05d", "group_no")).drop("group_no")

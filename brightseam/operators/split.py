@@ -20,9 +20,9 @@ def val_targets(manifest: DataFrame, share: float) -> DataFrame:
     return manifest.groupBy(F.col("current_label").alias("label")).agg(F.count(F.lit(1)).alias("n")).withColumn("target", bankers_target(F.col("n"), share))
 
 
-def mixed_draw(groups: DataFrame, share: float, seed: int) -> DataFrame:
+def mixed_draw(groups: DataFrame, share: float, seed: int, labels: list[str] = LABELS) -> DataFrame:
     """Mixed groups with their draw; those below the share go to validation."""
-    m = groups.where(is_mixed()).withColumn("draw", unit_draw(seed, F.col("group_id")))
+    m = groups.where(is_mixed(labels)).withColumn("draw", unit_draw(seed, F.col("group_id")))
     return m.withColumn("in_val", F.col("draw") < share)
 
 
@@ -92,9 +92,9 @@ def split_summary(rows: DataFrame) -> DataFrame:
     return rows.groupBy("split", "label").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("group_id").alias("groups"))
 
 
-def collect_targets(targets: DataFrame) -> dict[str, int]:
+def collect_targets(targets: DataFrame, labels: list[str] = LABELS) -> dict[str, int]:
     """One row a class."""
-    return {r["label"]: int(r["target"]) for r in targets.where(F.col("label").isin(*LABELS)).collect()}
+    return {r["label"]: int(r["target"]) for r in targets.where(F.col("label").isin(*labels)).collect()}
 
 
 def fixed_sample(df: DataFrame, key: str, size: int, seed: int) -> DataFrame:

@@ -8,30 +8,37 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dirt import strip, whole_number
+from ..functions.dirt import class_label, strip, whole_number
 from ..functions.scalars import basename, fixed6, hamming, l2_unit, bits
 from ..operators import audit, cluster, components, embed, neardup, reports, review, split
-from ..schemas import LABELS
+from ..schemas import LABELS, UNREADABLE
 from ..scratch import Scratch
 from . import sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 VAL_SHARE, SEED, CENTROIDS = 0.2, 63, 8
+#: Images without a readable label are split as a class of their own.
+SPLIT_LABELS = [*LABELS, UNREADABLE]
 
 
 def t(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-# ---- stand-ins, each the same as its text in sql.py -------------------------------------------------------------
+# ---- stand-ins, each the same as its text in sql.py but for manifest(), whose SQL keeps the literal labels 0, 1, 2 only ----
 
 
 def manifest(spark, folder):
-    """One row a path (that of the least image_id) with a label of the domain."""
+    """One row a path: that of the least image_id, whatever its label."""
     m = t(spark, folder, "manifest_clean").where("path is not null")
     s = F.min(F.struct(F.col("image_id").cast("bigint").alias("id"), "current_label", "class_name", "review_status", "reason")).alias("s")
     m = m.groupBy("path").agg(s).select(F.col("s.id").cast("string").alias("image_id"), "path", "s.current_label", "s.class_name", "s.review_status", "s.reason")
-    return m.where(F.col("current_label").isin(*LABELS))
+    return m
+
+
+def labelled(spark, folder):
+    """The whole manifest with labels 0, 1, 2 by number or name, or UNREADABLE."""
+    return manifest(spark, folder).withColumn("current_label", F.coalesce(class_label(F.col("current_label")), F.lit(UNREADABLE)))
 
 
 def vectors_plus(spark, folder):
@@ -69,7 +76,7 @@ def edges(spark, folder):
 
 def grouped(spark, folder):
     scratch = Scratch(spark, "edges")
-    return components.component_groups(manifest(spark, folder), scratch.cut(edges(spark, folder), "edges"))
+    return components.component_groups(labelled(spark, folder), scratch.cut(edges(spark, folder), "edges"), SPLIT_LABELS)
 
 
 def centroids(spark, folder) -> np.ndarray:
@@ -244,7 +251,8 @@ def connected_components(spark, folder):
 
 
 def component_groups(spark, folder):
-    return grouped(spark, folder)[1]
+    """The images of a group without a readable label are group_size - n0 - n1 - n2."""
+    return grouped(spark, folder)[1].drop(f"n{UNREADABLE}")
 
 
 def mixed_label_groups(spark, folder):
@@ -253,15 +261,15 @@ def mixed_label_groups(spark, folder):
 
 
 def val_targets(spark, folder):
-    return split.val_targets(manifest(spark, folder), VAL_SHARE)
+    return split.val_targets(labelled(spark, folder), VAL_SHARE)
 
 
 def split_mixed_bernoulli(spark, folder):
-    return split.mixed_draw(grouped(spark, folder)[1], VAL_SHARE, SEED).select("group_id", F.round("draw", 6).alias("draw"), "in_val")
+    return split.mixed_draw(grouped(spark, folder)[1], VAL_SHARE, SEED, SPLIT_LABELS).select("group_id", F.round("draw", 6).alias("draw"), "in_val")
 
 
 def split_first_fit(spark, folder):
-    g = grouped(spark, folder)[1].where(~split.is_mixed() & (F.col("n2") > 0))
+    g = grouped(spark, folder)[1].where(~split.is_mixed(SPLIT_LABELS) & (F.col("n2") > 0))
     g = Scratch(spark, "fit").cut(g.withColumn("draw", split.unit_draw(f"{SEED}:2", F.col("group_id"))), "groups")
     target = split.collect_targets(val_targets(spark, folder))["2"]
     return split.first_fit(g, target)
@@ -269,7 +277,7 @@ def split_first_fit(spark, folder):
 
 def split_rows(spark, folder):
     members, groups = grouped(spark, folder)
-    splits = split.assign_splits(groups, split.collect_targets(val_targets(spark, folder)), VAL_SHARE, SEED)
+    splits = split.assign_splits(groups, split.collect_targets(val_targets(spark, folder), SPLIT_LABELS), VAL_SHARE, SEED, SPLIT_LABELS)
     return split.split_rows(members, groups, splits)
 
 

@@ -23,3 +23,4 @@ TABLES = {
     "validation_coverage": ["cluster_id", "train_count", "train_proportion", "val_count", "val_proportion", "coverage_note"],
 }
 LABELS = ["0", "1", "2"]
+UNREADABLE = "unreadable"

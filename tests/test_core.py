@@ -211,3 +211,33 @@ def test_command_line(spark, tmp_path):
         spark.createDataFrame([(f"{s}{i}", str(i % 3), [rng.gauss(9 * (i % 3), 1), rng.gauss(0, 1)]) for i in range(n)], "path string, label string, embedding array<double>").write.parquet(f"{out}/{s}v")
     cli.main(["cluster-diagnostics", "--train", f"{out}/trainv", "--val", f"{out}/valv", "--candidate-k", "2,3", "--final-n-init", "2", "--tiny-cluster-threshold", "3", "--out", f"{out}/c"])
     assert files.read_manifest(spark, f"{out}/c/cluster_summary", "cluster_summary").count() == 3
+
+
+def test_queries_keep_every_label(spark, tmp_path):
+    """Readable labels count as their class, unreadable ones as one of their own; no query drops a path for its label."""
+    from brightseam.plans import queries
+
+    labels = ["0", "0.0", " 2", "Organic", "1_Electronic", "?", None, "7"] * 5
+    rows = [(str(i), f"t/{i:02d}", x, "c", "0", "") for i, x in enumerate(labels)]
+    out = str(tmp_path)
+    tables = {
+        "manifest_clean": (rows, "image_id string, path string, current_label string, class_name string, review_status string, reason string"),
+        "duplicate_review_actions": ([("f", "exact", "a", "t/00", "t/05", "")], "folder string, type string, decision string, keep_path string, remove_path string, group_paths string"),
+        "exact_duplicates": ([("s", "2", "t/01|t/07")], "sha256 string, count string, paths string"),
+        "dedup_group_pairs": ([("f", "t/02", "t/03", "r")], "source_folder string, path_a string, path_b string, reason string"),
+        "near_duplicate_pairs": ([("t/00", "t/06"), ("t/02", "t/03")], "path_a string, path_b string"),
+    }
+    for name, (own, schema) in tables.items():
+        spark.createDataFrame(own, schema).write.parquet(f"{out}/{name}.parquet")
+    q = {k: [r.asDict() for r in queries.queries()[k](spark, out).collect()] for k in ("clean_manifest", "removed_manifest", "unsafe_near_pairs", "retained_edges", "component_groups", "mixed_label_groups", "split_mixed_bernoulli", "val_targets", "train_manifest", "val_manifest", "edge_accounting")}
+    assert {r["path"]: r["current_label"] for r in q["clean_manifest"]} == {p: x for _, p, x, *_ in rows if p != "t/05"}
+    assert [(r["path"], r["label"]) for r in q["removed_manifest"]] == [("t/05", "?")]
+    assert [(r["lo"], r["hi"]) for r in q["unsafe_near_pairs"]] == [("t/00", "t/06")]
+    assert {(r["left"], r["right"]) for r in q["retained_edges"]} == {("t/01", "t/07"), ("t/02", "t/03")}
+    assert {r["kind"]: r["n"] for r in q["edge_accounting"]}["near_duplicate_pairs_retained"] == 2
+    assert sum(r["group_size"] for r in q["component_groups"]) == 40 and sum(r["n0"] + r["n1"] + r["n2"] for r in q["component_groups"]) == 25
+    assert not q["mixed_label_groups"] and len(q["split_mixed_bernoulli"]) == 1  # 0.0 with 7: one class, and one without a readable label
+    assert {r["label"]: (r["n"], r["target"]) for r in q["val_targets"]} == {"0": (10, 2), "1": (5, 1), "2": (10, 2), "unreadable": (15, 3)}
+    want = ["0", "0", "2", "2", "1", "unreadable", "unreadable", "unreadable"] * 5
+    assert sorted((r["path"], r["label"]) for r in q["train_manifest"] + q["val_manifest"]) == [(f"t/{i:02d}", x) for i, x in enumerate(want)]
+    assert any(r["label"] == "unreadable" for r in q["val_manifest"])
