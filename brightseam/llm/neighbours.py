@@ -92,10 +92,11 @@ def _expand(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return which, start + np.arange(len(which))
 
 
-def code_pairs(codes: np.ndarray, guest: np.ndarray, flips: np.ndarray, parts: range, radius: int, far: int = FAR, block: int = 2_000_000):
+def code_pairs(codes: np.ndarray, guest: np.ndarray, parts: range, radius: int, far: int = FAR, block: int = 2_000_000):
     """Index pairs (i, j) of codes that agree up to ``radius // PARTS`` bits in a substring of ``parts``, each once.
 
-    A guest (a row whose home is another task) pairs with hosts only, and ``flips`` of its bits are spent already.
+    A guest (a row whose home is another task) pairs with hosts only.  Its substring is its own, so a mask that reaches a
+    host holds the differing leading bits already.
     Yields arrays; a pair comes with the first substring that finds it.
     """
     own_radius = radius // PARTS
@@ -133,7 +134,7 @@ def code_pairs(codes: np.ndarray, guest: np.ndarray, flips: np.ndarray, parts: r
                 a = order[(s[order] & low) == 0]
                 yield from found(a, edge[s[a] ^ mask], edge[(s[a] ^ mask) + 1])
             if len(visitors):
-                v = visitors[flips[visitors] + bin(mask).count("1") <= own_radius]
+                v = visitors[edge[s[visitors] ^ mask] < edge[(s[visitors] ^ mask) + 1]]
                 yield from found(v, edge[s[v] ^ mask], edge[(s[v] ^ mask) + 1])
 
 
@@ -210,11 +211,11 @@ def nearest_rows(vectors: DataFrame, k: int = 5, min_similarity: float = 0.92, s
         for b in batches:
             region = b.column("region").to_numpy()
             c = b.column("code").to_numpy().view(np.uint64)
-            at, task, flips = [], [], []
+            at, task, guest = [], [], []
             small = np.array([lead[g] == 0 for g in region], bool)
             at.append(np.flatnonzero(small))
             task.append(region[small].astype(np.int64) << 32)
-            flips.append(np.zeros(int(small.sum()), np.int32))
+            guest.append(np.zeros(int(small.sum()), bool))
             for g in {int(x) for x in region[~small]}:
                 idx = np.flatnonzero(region == g)
                 t = lead[g]
@@ -225,12 +226,12 @@ def nearest_rows(vectors: DataFrame, k: int = 5, min_similarity: float = 0.92, s
                         go = to <= top
                         at.append(idx[go])
                         task.append((np.int64(g) << 32) | (np.int64(j + 1) << 24) | to[go])
-                        flips.append(np.full(int(go.sum()), bin(mask).count("1"), np.int32))
-            at, task, flips = np.concatenate(at), np.concatenate(task), np.concatenate(flips)
+                        guest.append(np.full(int(go.sum()), mask > 0))
+            at, task, guest = np.concatenate(at), np.concatenate(task), np.concatenate(guest)
             moved = b.select(["row", "vec", "code"]).take(pa.array(at))
-            yield pa.RecordBatch.from_arrays([*moved.columns, pa.array(task, pa.int64()), pa.array(flips, pa.int32())], ["row", "vec", "code", "task", "flips"])
+            yield pa.RecordBatch.from_arrays([*moved.columns, pa.array(task, pa.int64()), pa.array(guest)], ["row", "vec", "code", "task", "guest"])
 
-    placed = coded.mapInArrow(place, "row bigint, vec array<float>, code bigint, task bigint, flips int")
+    placed = coded.mapInArrow(place, "row bigint, vec array<float>, code bigint, task bigint, guest boolean")
 
     def search(t: pa.Table) -> pa.Table:
         task = t["task"][0].as_py()
@@ -238,11 +239,11 @@ def nearest_rows(vectors: DataFrame, k: int = 5, min_similarity: float = 0.92, s
         x = matrix(t["vec"])
         rows = t["row"].to_numpy()
         codes = t["code"].to_numpy().view(np.uint64)
-        flips = t["flips"].to_numpy()
+        guest = t["guest"].to_numpy()
         kept = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
         found, waiting = [kept], 0
         parts = range(PARTS) if j == 0 else range(j - 1, j)
-        for a, b in code_pairs(codes, flips > 0, flips, parts, radius):
+        for a, b in code_pairs(codes, guest, parts, radius):
             if not len(a):
                 continue
             sim = np.einsum("ij,ij->i", x[a], x[b], dtype=np.float32).astype(np.float64)

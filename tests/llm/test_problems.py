@@ -175,6 +175,25 @@ def test_neighbours_recall(spark, rows_per_task):
     assert len(want) > 500 and len(got & want) >= 0.97 * len(want) and len(got - want) <= 0.03 * len(want)
 
 
+def test_split_regions_find_the_same_pairs(spark, monkeypatch):
+    """Tasks by leading bits retrieve what one task for the region does: here pairs that only one substring finds, by a
+    leading bit and another one or by two leading bits."""
+
+    def plain_signs(self, sample):
+        self.centres, self.directions, self.rotation = np.zeros((1, 64), np.float32), np.zeros((1, 64), np.float32), np.eye(64, dtype=np.float32)
+
+    monkeypatch.setattr(neighbours.Code, "__init__", plain_signs)
+    g = np.random.default_rng(5)
+    x = np.repeat(g.choice([-1.0, 1.0], size=(100, 64)), 2, axis=0)
+    for i in range(100):
+        part, rest = i % 4, 9 if i % 2 else 1
+        for j in range(4):
+            x[2 * i + 1, [16 * j, 16 * j + rest, *([] if j == part else [16 * j + 5])]] *= -1
+    df = spark.createDataFrame([(i, [float(y) for y in v]) for i, v in enumerate(x)], "row bigint, vec array<float>")
+    one, cut = ({(r["row"], r["other"]) for r in neighbours.nearest_rows(df, 5, 0.6, rows_per_task=n).collect()} for n in (200_000, 20))
+    assert one == cut == {(i, i ^ 1) for i in range(200)}
+
+
 def test_neighbours_of_many_copies(spark):
     """Copies beyond k + 1 take the least others; ties go to the smaller row."""
     g = np.random.default_rng(2)
