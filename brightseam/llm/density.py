@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from ..functions.dirt import class_label, cluster_name, strip
 from ..scratch import Scratch
 from .images import image_id, known_images, table
-from .vectors import Grid, learn_grid, matrix, sample_matrix, valid_manifest_rows, valid_vectors
+from .vectors import DIM, Grid, learn_grid, matrix, sample_matrix, valid_manifest_rows, valid_vectors
 
 #: Vectors that the axes are learned from; every vector is then quantised.
 SAMPLE = 20_000
 #: A cell is dense from this share of all vectors on, and from LEAST vectors on.
 DENSITY, LEAST = 0.004, 4
+#: Vectors whose cosine with every mean is below this are clustered again among themselves.
+FAR = 0.4
 
 
 def quantise(vectors: DataFrame, grid: Grid) -> DataFrame:
@@ -62,54 +64,94 @@ def density_clusters(vectors: DataFrame, sample: int = SAMPLE, density: float =
     """(row, cluster, distance, cell_size): every vector in exactly one cluster, numbered from 0, largest first.
 
     ``vectors``: (row unique, vec of DIM finite numbers, not all zero).  Axes are learned from a bounded sample; all
-    vectors are quantised and counted.  A vector of a dense cell belongs to that cell's cluster; any other to the
-    cluster whose mean points nearest to it.  ``distance`` is Euclidean, between unit vector and mean direction.
-    Only dense cells (at most 1 / density) and their sums come to the driver.  Without any dense cell all
+    vectors are quantised and counted.  A vector of a dense cell belongs to that cell's cluster.  Vectors far from the
+    mean of every cluster are quantised and counted again among themselves, until that finds no dense cell: so a cluster
+    too small for an axis or a dense cell among all vectors is found among those left over.  Any other vector belongs
+    to the cluster whose mean points nearest to it.  ``distance`` is Euclidean, between unit vector and mean direction.
+    Only dense cells (at most 1 / density a round) and their sums come to the driver.  Without any dense cell all
     vectors form cluster 0; an empty table gives no rows.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark, "density")
-    vectors = scratch.cut(vectors, "vectors")
-    total = vectors.count()
-    out = "row bigint, cluster int, distance double, cell_size bigint"
+    rest = scratch.cut(vectors, "vectors")
+    total = rest.count()
     if not total:
-        return spark.createDataFrame([], out)
-    grid = learn_grid(sample_matrix(vectors, total, sample))
-    celled = scratch.cut(quantise(vectors, grid), "celled")
-    labels = dense_cells(celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n")), total, density)
-    order = labels.groupBy("cluster").agg(F.sum("n").alias("size")).orderBy(F.desc("size"), "cluster").collect()
-    number = {r["cluster"]: i for i, r in enumerate(order)}
-    of_cell = {r["cell"]: (number[r["cluster"]], r["n"]) for r in labels.collect()}
+        return spark.createDataFrame([], "row bigint, cluster int, distance double, cell_size bigint")
+    means, sizes, settled, noise = np.zeros((0, DIM), np.float32), [], [], None
+    while total:
+        grid = learn_grid(sample_matrix(rest, total, sample), noise=noise)
+        noise = grid.noise
+        celled = scratch.cut(quantise(rest, grid), "celled")
+        labels = dense_cells(celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n")), total, density)
+        order = labels.groupBy("cluster").agg(F.sum("n").alias("size")).orderBy(F.desc("size"), "cluster").collect()
+        number = {r["cluster"]: len(sizes) + i for i, r in enumerate(order)}
+        of_cell = {r["cell"]: (number[r["cluster"]], r["n"]) for r in labels.collect()}
+        first = not sizes
+        if not order and not first:
+            settled.append(celled.select("row", "vec", F.lit(-1).alias("own"), F.lit(0).cast("bigint").alias("n")))
+            break
+        means = np.concatenate((means, cell_means(celled, of_cell, len(sizes), max(1, len(order)))))
+        sizes += [r["size"] for r in order]
+        marked = mark_far(celled, of_cell, means)
+        settled.append(marked.where("not far").drop("far"))
+        if not order:
+            settled.append(marked.where("far").drop("far"))
+            break
+        rest = scratch.cut(marked.where("far").select("row", "vec"), "far")
+        total = rest.count()
+    best = np.argsort(-np.array(sizes), kind="stable") if sizes else np.zeros(1, np.int64)
+    every = settled[0]
+    for s in settled[1:]:
+        every = every.unionByName(s)
+    return nearest(every, means, np.argsort(best))
+
+
+def cell_means(celled: DataFrame, of_cell: dict[str, tuple[int, int]], start: int, n: int) -> np.ndarray:
+    """Mean directions of the ``n`` clusters numbered from ``start``; without any, of all vectors."""
 
     def sums(batches):
-        acc = np.zeros((max(1, len(number)), vectors_dim), np.float64)
+        acc = np.zeros((n, DIM), np.float64)
         for b in batches:
             x = matrix(b.column("vec"))
-            own = np.array([of_cell.get(c, (-1 if number else 0, 0))[0] for c in b.column("cell").to_pylist()], np.int64)
+            own = np.array([of_cell.get(c, (start - 1 if of_cell else start, 0))[0] - start for c in b.column("cell").to_pylist()], np.int64)
             np.add.at(acc, own[own >= 0], x[own >= 0])
         yield pa.RecordBatch.from_arrays([pa.array(range(len(acc)), pa.int32()), pa.array(acc.tolist(), pa.list_(pa.float64()))], ["cluster", "total"])
 
-    vectors_dim = grid.axes.shape[0]
     parts = celled.select("vec", "cell").mapInArrow(sums, "cluster int, total array<double>")
     each = parts.select("cluster", F.posexplode("total").alias("i", "x")).groupBy("cluster", "i").agg(F.sum("x").alias("x")).collect()
-    means = np.zeros((max(1, len(number)), vectors_dim))
+    means = np.zeros((n, DIM))
     for r in each:
         means[r["cluster"], r["i"]] = r["x"]
     norm = np.linalg.norm(means, axis=1, keepdims=True)
-    means = (means / np.where(norm > 0, norm, 1)).astype(np.float32)
+    return (means / np.where(norm > 0, norm, 1)).astype(np.float32)
 
-    def assign(batches):
+
+def mark_far(celled: DataFrame, of_cell: dict[str, tuple[int, int]], means: np.ndarray) -> DataFrame:
+    """(row, vec, own, n, far): the cluster and size of the dense cell, or -1 and 0; far from all means and in none."""
+
+    def mark(batches):
         for b in batches:
-            x = matrix(b.column("vec"))
             hits = [of_cell.get(c, (-1, 0)) for c in b.column("cell").to_pylist()]
             own, n = (np.array([h[i] for h in hits], np.int64) for i in (0, 1))
-            cos = x @ means.T
-            own = np.where(own >= 0, own, cos.argmax(1) if len(cos) else own)
-            near = cos[np.arange(len(x)), own].astype(np.float64)
-            cols = [b.column("row"), pa.array(own, pa.int32()), pa.array(np.sqrt(np.maximum(0, 2 - 2 * near))), pa.array(n, pa.int64())]
+            far = (own < 0) & ((matrix(b.column("vec")) @ means.T).max(1) < FAR)
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("vec"), pa.array(own, pa.int32()), pa.array(n, pa.int64()), pa.array(far)], ["row", "vec", "own", "n", "far"])
+
+    return celled.mapInArrow(mark, "row bigint, vec array<float>, own int, n bigint, far boolean")
+
+
+def nearest(marked: DataFrame, means: np.ndarray, number: np.ndarray) -> DataFrame:
+    """(row, cluster, distance, cell_size): the own cluster or that of the nearest mean, as numbered."""
+
+    def assign(batches):
+        for b in batches:
+            own = b.column("own").to_numpy()
+            cos = matrix(b.column("vec")) @ means.T
+            own = np.where(own >= 0, own, cos.argmax(1))
+            near = cos[np.arange(len(own)), own].astype(np.float64)
+            cols = [b.column("row"), pa.array(number[own], pa.int32()), pa.array(np.sqrt(np.maximum(0, 2 - 2 * near))), b.column("n")]
             yield pa.RecordBatch.from_arrays(cols, ["row", "cluster", "distance", "cell_size"])
 
-    return celled.mapInArrow(assign, out)
+    return marked.mapInArrow(assign, "row bigint, cluster int, distance double, cell_size bigint")
 
 
 def image_clusters(spark: SparkSession, folder: str) -> DataFrame:

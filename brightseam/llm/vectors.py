@@ -58,20 +58,22 @@ def sample_matrix(vectors: DataFrame, total: int, bound: int, seed: int = 63) ->
 
 @dataclass
 class Grid:
-    """Axes (dim x q) and the half-open levels -1, 0, 1 that a coordinate has below -h, between, and from h on."""
+    """Axes (dim x q), the noise's second moment, and the half-open levels -1, 0, 1 that a coordinate has below -h, between, and from h on."""
 
     axes: np.ndarray
     h: float
+    noise: float = 0.0
 
     def levels(self, x: np.ndarray) -> np.ndarray:
         y = x @ self.axes
         return (y >= self.h).astype(np.int8) - (y <= -self.h).astype(np.int8)
 
 
-def learn_grid(sample: np.ndarray, h: float = 0.45, floor: float = 1.5) -> Grid:
+def learn_grid(sample: np.ndarray, h: float = 0.45, floor: float = 1.5, noise: float | None = None) -> Grid:
     """Principal axes that stand out of the noise, rotated so that each points at a dense region.
 
-    An axis stands out if its second moment is ``floor`` times the median of the lower half.  The rotation is the
+    An axis stands out if its second moment is ``floor`` times the median of the lower half; with a known ``noise``, if it
+    is ``floor`` times the greatest that so many vectors of noise have.  The rotation is the
     fixed point of Y -> polar(Z' Y^3), which makes the coordinates' fourth moments as large as can be: for
     separate regions each region then has one axis of its own, and a level cut at ``h`` tells them apart.
     """
@@ -80,7 +82,8 @@ def learn_grid(sample: np.ndarray, h: float = 0.45, floor: float = 1.5) -> Grid:
     s = sample.astype(np.float64)
     w, v = np.linalg.eigh(s.T @ s / len(s))
     w, v = w[::-1], v[:, ::-1]
-    q = max(1, int((w > floor * max(np.median(w[len(w) // 2 :]), 1e-12)).sum()))
+    low = max(np.median(w[len(w) // 2 :]), 1e-12)
+    q = max(1, int((w > floor * (low if noise is None else noise * (1 + np.sqrt(len(w) / len(s))) ** 2)).sum()))
     z = s @ v[:, :q]
     r = np.eye(q)
     for _ in range(300):
@@ -91,4 +94,4 @@ def learn_grid(sample: np.ndarray, h: float = 0.45, floor: float = 1.5) -> Grid:
         r = a @ b
     axes = v[:, :q] @ r
     axes = axes * np.where(((s @ axes) ** 3).sum(0) < 0, -1, 1)
-    return Grid(axes.astype(np.float32), h)
+    return Grid(axes.astype(np.float32), h, low if noise is None else noise)

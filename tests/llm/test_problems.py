@@ -132,6 +132,19 @@ def test_cells_join_through_adjacent_ones(spark):
     assert got["++-"] == got["+0-"] == got["00-"] != got["--+"] and "000" not in got and "+-+" not in got
 
 
+@pytest.mark.parametrize("counts", [[900, 900, 900, 900, 900, 12], [4000, 60, 50, 40, 20, 15]])
+def test_small_clusters_keep_their_own(spark, counts):
+    """Clusters of 0.3 % of the rows, and those beside one of 96 %, are found."""
+    g = np.random.default_rng(4)
+    c = np.linalg.qr(g.normal(size=(64, 64)))[0][: len(counts)]
+    truth = np.repeat(range(len(counts)), counts)
+    x = c[truth] * 0.65 + g.normal(size=(len(truth), 64)) * 0.095
+    df = spark.createDataFrame([(i, [float(y) for y in v]) for i, v in enumerate(x)], "row bigint, vec array<float>")
+    got = {r["row"]: r["cluster"] for r in density.density_clusters(df).collect()}
+    assert len(got) == len(x) and [len({got[i] for i in np.flatnonzero(truth == k).tolist()}) for k in range(len(counts))] == [1] * len(counts)
+    assert len({*got.values()}) == len(counts)
+
+
 def test_divisor_quotas():
     rng = random.Random(4)
     for _ in range(200):
