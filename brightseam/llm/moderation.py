@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import html
+import re
 import unicodedata
 import zlib
-from collections import Counter, defaultdict
+from dataclasses import dataclass
+from itertools import islice
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +25,8 @@ from .images import table
 CLASSES = ("ok", "abuse", "hate", "sexual")
 #: Labelled rows used for training at most; a larger table is thinned by a hash of doc_id.
 TRAIN_ROWS = 12_000
+#: Characters of their texts at most.
+TRAIN_CHARS = 30_000_000
 #: Hashed features, embedding width, passes over the segments after each relabelling.
 BUCKETS, WIDTH, PASSES = 1 << 18, 16, (3, 1, 1, 1, 2, 2)
 #: Share of harmless documents that raters call harmful, and of harmful ones they call ok, as the training assumes.
@@ -36,74 +41,203 @@ _ALIKE = str.maketrans("аеорсхуіѕԁһјкмтвнοαριντκ", "aeop
 _LEET = str.maketrans("013457$!", "oieastsi")
 _INVISIBLE = regex.compile(r"[\p{Cf}̀-ͯ͏️]")
 _TAG = regex.compile(r"</?[a-zA-Z][^<>]{0,60}>")
-_BREAK = regex.compile(r"[\r\n]+|(?<=[.!?…。！？।؟])[\"'»”)]*\s+|(?<=[。！？])")
-_LEAD = regex.compile(r"^\s*(?:\[\d{1,2}:\d{2}\]\s*\w{1,6}:\s*)?")
-_SPACED = regex.compile(r"(?<![\w*])(?:\p{L}[ .\-_·•]{1,2}){2,}\p{L}(?![\w*])")
-_JOIN = regex.compile(r"[ .\-_·•]+")
-_RUN = regex.compile(r"(\p{L})\1{2,}")
-_WORD = regex.compile(r"[\p{L}\p{M}\p{N}#*@_$%]+")
-_PATH = regex.compile(r"\S*/\S*?(?:copy of |\S)*?\.(?:jpe?g|png|webp)\b|\b[0-9a-f]{8,}\b", regex.I)
 _MASK = regex.compile(r"[#*@_%]")
 _LATIN, _OTHER = regex.compile(r"\p{Latin}"), regex.compile(r"[\p{Cyrillic}\p{Greek}]")
 _WIDE = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}]")
+_FILE_END = re.compile(r"\.(?:jpe?g|png|webp)\b")
+_CHUNK = re.compile(r"(?<!\S)[^\s/]*/\S*")
+
+
+@dataclass(frozen=True)
+class _Patterns:
+    """Patterns over many segments, one a line."""
+
+    stop: Any  # where a text is cut into segments
+    lead: Any  # time and speaker in front of a chat line
+    digest: Any
+    spaced: Any
+    run: Any
+    token: Any  # a word, or the end of a line
+
+
+#: Those of ASCII text are the same, written for the faster module.
+_ASCII = _Patterns(
+    re.compile(r"[\r\n]+|(?<=[.!?])[\"']*\s+"), re.compile(r"^[^\S\n]*\[\d{1,2}:\d{2}\][^\S\n]*\w{1,6}:[^\S\n]*", re.M), re.compile(r"\b[0-9a-f]{8,}\b"),
+    re.compile(r"(?<![\w*])(?:[a-z][ .\-_]{1,2}){2,}[a-z](?![\w*])"), re.compile(r"([a-z])\1{2,}"), re.compile(r"[a-z0-9#*@_$%]+|\n"),
+)
+_ANY = _Patterns(
+    regex.compile(r"[\r\n]+|(?<=[.!?…。！？।؟])[\"'»”)]*\s+|(?<=[。！？])"), regex.compile(r"^[^\S\n]*\[\d{1,2}:\d{2}\][^\S\n]*\w{1,6}:[^\S\n]*", regex.M), regex.compile(r"\b[0-9a-f]{8,}\b"),
+    regex.compile(r"(?<![\w*])(?:\p{L}[ .\-_·•]{1,2}){2,}\p{L}(?![\w*])"), regex.compile(r"(\p{L})\1{2,}"), regex.compile(r"[\p{L}\p{M}\p{N}#*@_$%]+|\n"),
+)
+_JOIN = str.maketrans("", "", " .-_·•")
 
 
 def segments(text: str | None) -> list[str]:
     """Sentences and lines of a text, without markup; none for NULL or blank."""
-    if not text or not text.strip():
+    if not text or text.isspace():
         return []
     t = _TAG.sub("\n", html.unescape(text)) if "<" in text or "&" in text else text
-    return [s for s in _BREAK.split(t) if s and not s.isspace()]
-
-
-def words(segment: str) -> list[str]:
-    """Words with the tricks of disguise undone: invisible marks, look-alike letters, spaced-out letters, digits for
-    letters, stretched letters.  Masked letters become ``*``; a number becomes ``0``."""
-    s = _LEAD.sub("", segment, count=1)
-    if not s.isascii():
-        s = unicodedata.normalize("NFD", unicodedata.normalize("NFKC", s))
-        s = unicodedata.normalize("NFC", _INVISIBLE.sub("", s))
-    s = s.casefold()
-    s = _PATH.sub(" 0 ", s)
-    s = _SPACED.sub(lambda m: _JOIN.sub("", m[0]), s)
-    s = _RUN.sub(r"\1", s)
-    out = []
-    for w in _WORD.findall(s):
-        if w.isdigit():
-            out.append("0")
-            continue
-        w = w.lstrip("@")
-        if not w:
+    return [s for s in (_ASCII if t.isascii() else _ANY).stop.split(t) if s and not s.isspace()]
+
+
+def _no_file(m: Any) -> str:
+    """A chunk of text with a slash: up to the last ending of an image file it is a file's name."""
+    last = None
+    for last in _FILE_END.finditer(m[0], m[0].index("/")):
+        pass
+    return m[0] if last is None else " 0 " + m[0][last.end() :]
+
+
+def _tokens(lines: list[str], p: _Patterns) -> list[str]:
+    """Tokens of all lines, each line but the last followed by a line feed."""
+    s = p.lead.sub("", "\n".join(lines)).casefold()
+    if "/" in s:
+        s = _CHUNK.sub(_no_file, s.replace("copy of ", "copy_of_"))
+    s = p.digest.sub(" 0 ", s)
+    s = p.spaced.sub(lambda m: m[0].translate(_JOIN), s)
+    return p.token.findall(p.run.sub(r"\1", s))
+
+
+def _word(token: str) -> str:
+    """The word a token stands for; empty if none."""
+    w = token.lstrip("@")
+    if w.isdigit():
+        return "0"
+    if not w.isascii() and _OTHER.search(w) and _LATIN.search(w):
+        w = w.translate(_ALIKE)
+    return w if w.isalpha() else _MASK.sub("*", w.translate(_LEET))
+
+
+def segment_tokens(segs: list[str]) -> tuple[list[int], list[str]]:
+    """(order, tokens): tokens of the segments in that order, with line feeds between segments; the tricks of disguise are undone:
+    invisible marks, look-alike letters, spaced-out letters, digits for letters, stretched letters.  Masked letters become ``*``; a
+    number, a digest or a file's name becomes ``0``.  Many segments are worked on as one text."""
+    order: list[int] = []
+    tokens: list[str] = []
+    for plain in (True, False):
+        at = [i for i, s in enumerate(segs) if s.isascii() == plain]
+        if not at:
             continue
-        if not w.isascii() and _OTHER.search(w) and _LATIN.search(w):
-            w = w.translate(_ALIKE)
-        if not w.isalpha():
-            w = _MASK.sub("*", w.translate(_LEET))
-        out.append(w)
-    return out
+        lines = [segs[i].replace("\n", " ") for i in at]
+        if not plain:
+            lines = [unicodedata.normalize("NFC", _INVISIBLE.sub("", unicodedata.normalize("NFD", unicodedata.normalize("NFKC", s)))).replace("\n", " ") for s in lines]
+        tokens += (["\n"] if order else []) + _tokens(lines, _ASCII if plain else _ANY)
+        order += at
+    return order, tokens
 
 
-def windows(ws: list[str]) -> list[list[str]]:
-    if len(ws) <= WINDOW:
-        return [ws] if ws else []
-    return [ws[i : i + WINDOW] for i in range(0, len(ws) - OVERLAP, WINDOW - OVERLAP)]
+def words(segment: str) -> list[str]:
+    """The words of one segment."""
+    return [w for t in segment_tokens([segment])[1] if (w := _word(t))]
 
 
-def _hash(s: str) -> int:
-    return zlib.crc32(s.encode("utf-8", "replace")) & (BUCKETS - 1)
+def window_places(start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, first place, size) of each window over rows of words at start[i] .. start[i + 1] - 1; none for a row without words."""
+    n = np.diff(start)
+    step = WINDOW - OVERLAP
+    many = np.where(n > WINDOW, -(-(n - OVERLAP) // step), np.minimum(n, 1))
+    row = np.repeat(np.arange(len(n)), many)
+    skip = step * (np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many))
+    return row, start[row] + skip, np.minimum(WINDOW, n[row] - skip)
 
 
-def word_features(w: str) -> list[int]:
-    """The word and its character n-grams (2 to 4 in scripts without spaces, else 3 and 4)."""
-    lo, hi = (2, 4) if _WIDE.search(w) else (3, 4)
-    b = f"<{w[:200]}>"
-    grams = {b[i : i + n] for n in range(lo, hi + 1) for i in range(len(b) - n + 1)}
-    rest = [word_features(w[i : i + 200]) for i in range(200, len(w), 200)]
-    return [_hash("w:" + w), *map(_hash, sorted(grams)), *(f for r in rest for f in r)]
+def windows(ws: list[str]) -> list[list[str]]:
+    """The windows of one row of words."""
+    _, place, n = window_places(np.array([0, len(ws)]))
+    return [ws[a : a + k] for a, k in zip(place.tolist(), n.tolist(), strict=True)]
 
 
-def pair_features(ws: list[str]) -> list[int]:
-    return [_hash(f"p:{a} {b}") for a, b in zip(["^", *ws], [*ws, "$"], strict=True)]
+def _hash(s: str) -> int:
+    return zlib.crc32(s.encode("utf-8", "replace"))
+
+
+#: Odd numbers that the codes of a gram's characters are multiplied by; any such numbers do.
+_MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
+
+
+def word_features(words: list[str], hashes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(features of all words, how many each has): the word, by its hash, and its character n-grams (2 to 4 in scripts without
+    spaces, else 3 and 4)."""
+    n = np.array([len(w) + 2 for w in words], np.int64)
+    code = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    owner = np.repeat(np.arange(len(words)), n)
+    left = np.cumsum(n)[owner] - np.arange(len(code))
+    wide = np.array([bool(not w.isascii() and _WIDE.search(w)) for w in words], bool)
+    owners, found = [np.arange(len(words))], [np.array(hashes, np.uint64)]
+    for k in (2, 3, 4):
+        at = np.flatnonzero((left >= k) & wide[owner] if k == 2 else left >= k)
+        h = np.full(len(at), k, np.uint64)
+        for j in range(k):
+            h = (h ^ code[at + j]) * _MIX[j]
+            h ^= h >> np.uint64(29)
+        owners.append(owner[at])
+        found.append(h >> np.uint64(7))
+    of = np.concatenate(owners)
+    order = np.argsort(of, kind="stable")
+    return (np.concatenate(found)[order] & np.uint64(BUCKETS - 1)).astype(np.int64), np.bincount(of, minlength=len(words))
+
+
+class Vocabulary:
+    """Words by number; 0 stands before the first word of a window and 1 after the last."""
+
+    def __init__(self) -> None:
+        self.ids: dict[str, int] = {"^": 0, "$": 1}
+        self.of_token: dict[str, int] = {"\n": -1}
+        self.hashes = [_hash("w:^"), _hash("w:$")]
+
+    def __len__(self) -> int:
+        return len(self.of_token)
+
+    def _number(self, token: str) -> int:
+        w = _word(token)
+        i = self.ids.get(w, -2) if w else -2
+        if w and i < 0:
+            i = self.ids[w] = len(self.ids)
+            self.hashes.append(_hash("w:" + w))
+        self.of_token[token] = i
+        return i
+
+    def encode(self, segs: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(segment of each row, word numbers of all rows, first place of each row and the end); a segment is a row."""
+        order, tokens = segment_tokens(segs)
+        got = [self._number(t) if i is None else i for t, i in zip(tokens, map(self.of_token.get, tokens), strict=True)]
+        x = np.array(got, np.int64)
+        ends = np.flatnonzero(x == -1)
+        kept = np.concatenate(([0], np.cumsum(x >= 0)))
+        start = np.concatenate(([0], kept[ends], kept[-1:])) if order else np.zeros(1, np.int64)
+        return np.array(order, np.int64), x[x >= 0], start
+
+    def new_words(self, since: int) -> list[str]:
+        """Words numbered from ``since`` on."""
+        return list(islice(self.ids, since, None))
+
+    def pairs(self, flat: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(feature of each two words in a row, first place of each row and the end); a row of n words has n + 1."""
+        n = np.diff(start)
+        left, right = np.insert(flat, start[:-1], 0), np.insert(flat, start[1:], 1)
+        h = np.array(self.hashes, np.uint64)
+        mixed = h[left] * np.uint64(0x9E3779B1) + h[right] * np.uint64(0x85EBCA77)
+        return ((mixed >> np.uint64(17)) & np.uint64(BUCKETS - 1)).astype(np.int64), np.concatenate(([0], np.cumsum(n + 1)))
+
+
+def spread(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The places start[i] .. start[i] + n[i] - 1 of all i in a row."""
+    ends = np.cumsum(n)
+    return np.repeat(start - (ends - n), n) + np.arange(ends[-1] if len(n) else 0)
+
+
+def row_features(vocabulary: Vocabulary, flat: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(features of all rows, first place of each row and the end): those of the words of a row, then of its pairs."""
+    table, size = word_features(vocabulary.new_words(2), vocabulary.hashes[2:])
+    size = np.concatenate((np.zeros(2, np.int64), size))
+    first = np.cumsum(size) - size
+    pair, pair_start = vocabulary.pairs(flat, start)
+    own = np.add.reduceat(size[flat], start[:-1]) if len(flat) else np.zeros(0, np.int64)
+    begin = np.concatenate(([0], np.cumsum(own + np.diff(pair_start))))
+    out = np.empty(begin[-1], np.int64)
+    out[spread(begin[:-1], own)] = table[spread(first[flat], size[flat])]
+    out[spread(begin[:-1] + own, np.diff(pair_start))] = pair
+    return out, begin
 
 
 class SubwordBag:
@@ -117,36 +251,35 @@ class SubwordBag:
         self.rng = rng
         self.ge, self.gw, self.gb = np.full(BUCKETS, 1e-4, np.float32), np.full_like(self.w, 1e-3), np.full_like(self.b, 1e-3)
 
-    def fit(self, flat: np.ndarray, start: np.ndarray, target: np.ndarray, weight: np.ndarray, passes: int, rate: float = 0.3, batch: int = 256) -> None:
-        """One row of ``target`` (class shares) and ``weight`` a segment; features of segment i are flat[start[i]:start[i+1]]."""
+    def fit(self, flat: np.ndarray, start: np.ndarray, target: np.ndarray, weight: np.ndarray, rate: float = 0.3, batch: int = 256) -> None:
+        """One pass.  One row of ``target`` (class shares) and ``weight`` a segment; features of segment i are flat[start[i]:start[i+1]]."""
         ge, gw, gb = self.ge, self.gw, self.gb
         size = np.diff(start)
         use = np.flatnonzero((weight > 0) & (size > 0))
-        for _ in range(passes):
-            self.rng.shuffle(use)
-            for at in range(0, len(use), batch):
-                seg = use[at : at + batch]
-                n = size[seg]
-                ends = np.cumsum(n)
-                idx = flat[np.repeat(start[seg] - (ends - n), n) + np.arange(ends[-1])]
-                h = np.add.reduceat(self.e[idx], ends - n, axis=0) / n[:, None]
-                z = h @ self.w + self.b
-                p = np.exp(z - z.max(1, keepdims=True))
-                p /= p.sum(1, keepdims=True)
-                g = (p - target[seg]) * weight[seg, None]
-                dh = (g @ self.w.T) / n[:, None]
-                dw, db = h.T @ g, g.sum(0)
-                order = np.argsort(idx, kind="stable")
-                sid = idx[order]
-                first = np.flatnonzero(np.concatenate(([True], sid[1:] != sid[:-1])))
-                de = np.add.reduceat(np.repeat(dh, n, axis=0)[order], first, axis=0)
-                rows = sid[first]
-                ge[rows] += (de**2).mean(1)
-                self.e[rows] -= rate * de / np.sqrt(ge[rows])[:, None]
-                gw += dw**2
-                gb += db**2
-                self.w -= rate * dw / np.sqrt(gw)
-                self.b -= rate * db / np.sqrt(gb)
+        self.rng.shuffle(use)
+        for at in range(0, len(use), batch):
+            seg = use[at : at + batch]
+            n = size[seg]
+            ends = np.cumsum(n)
+            idx = np.take(flat, spread(start[seg], n))  # take is much faster than an index in brackets
+            h = np.add.reduceat(np.take(self.e, idx, axis=0), ends - n, axis=0) / n[:, None]
+            z = h @ self.w + self.b
+            p = np.exp(z - z.max(1, keepdims=True))
+            p /= p.sum(1, keepdims=True)
+            g = (p - target[seg]) * weight[seg, None]
+            dh = ((g @ self.w.T) / n[:, None]).astype(np.float32)
+            dw, db = h.T @ g, g.sum(0)
+            keyed = np.sort(idx << 32 | np.arange(len(idx)))  # sorting numbers is faster than sorting places
+            sid, order = keyed >> 32, keyed & 0xFFFFFFFF
+            first = np.flatnonzero(np.concatenate(([True], sid[1:] != sid[:-1])))
+            de = np.add.reduceat(np.take(dh, np.take(np.repeat(np.arange(len(seg)), n), order), axis=0), first, axis=0)
+            rows = sid[first]
+            ge[rows] += (de**2).mean(1)
+            self.e[rows] -= rate * de / np.sqrt(ge[rows])[:, None]
+            gw += dw**2
+            gb += db**2
+            self.w -= rate * dw / np.sqrt(gw)
+            self.b -= rate * db / np.sqrt(gb)
 
     def table(self) -> np.ndarray:
         """Each feature's share in the logits: as the mean is linear, scoring needs nothing else."""
@@ -161,22 +294,24 @@ def train(texts: list[str | None], labels: list[int]) -> tuple[np.ndarray, np.nd
     harmful given the document's label (expectation-maximisation with a noisy or).  So phrases that merely come with
     harmful ones lose their share, since they also stand in harmless documents.  Equal segments are one.
     """
-    ids: dict[tuple[str, ...], int] = {}
-    doc_segs: list[list[int]] = []
-    for t in texts:
-        own = {ids.setdefault(tuple(w), len(ids)) for s in segments(t) for w in windows(words(s))}
-        doc_segs.append(sorted(own))
-    feats: dict[str, list[int]] = {}
-    parts, start = [], [0]
-    for ws in ids:
-        f = [x for w in ws for x in feats.setdefault(w, []) or feats.__setitem__(w, word_features(w)) or feats[w]] + pair_features(list(ws))
-        parts.append(np.array(f, np.int32))
-        start.append(start[-1] + len(f))
+    raw: dict[str, int] = {}
+    own_raw = [[raw.setdefault(s, len(raw)) for s in segments(t)] for t in texts]
+    vocabulary = Vocabulary()
+    segment, flat, start = vocabulary.encode(list(raw))
+    ids: dict[bytes, int] = {}
+    rows: list[tuple[int, int]] = []
+    of_raw: list[list[int]] = [[] for _ in raw]
+    for row, at, n in zip(*(x.tolist() for x in window_places(start)), strict=True):
+        i = ids.setdefault(flat[at : at + n].tobytes(), len(ids))
+        if i == len(rows):
+            rows.append((at, n))
+        of_raw[segment[row]].append(i)
+    doc_segs = [sorted({i for r in own for i in of_raw[r]}) for own in own_raw]
     model = SubwordBag()
     if not ids:  # nothing to learn from: all is ok
         return np.zeros((BUCKETS, len(CLASSES)), np.float32), np.array([20, 0, 0, 0], np.float32)
-    flat, start = np.concatenate(parts), np.array(start, np.int64)
-    del parts
+    places, n = np.array(rows, np.int64).T
+    flat, start = row_features(vocabulary, flat[spread(places, n)], np.concatenate(([0], np.cumsum(n))))
     doc = np.repeat(np.arange(len(doc_segs)), [len(s) for s in doc_segs])
     seg = np.array([s for d in doc_segs for s in d], np.int64)
     lab = np.array(labels, np.int64)[doc]
@@ -186,17 +321,21 @@ def train(texts: list[str | None], labels: list[int]) -> tuple[np.ndarray, np.nd
     kind = np.zeros((len(lab), len(CLASSES)))  # which class it then has
     kind[np.arange(len(lab)), lab] = 1
     positive = (np.array(labels) > 0)[doc]
+    late: list[tuple[np.ndarray, np.ndarray]] = []  # after each pass of the last two rounds; their mean wavers less than the last one
     for r, passes in enumerate(PASSES):
         target = np.zeros((len(ids), len(CLASSES)))
         np.add.at(target, seg, bad[:, None] * kind)
         target[:, 0] = many - target[:, 1:].sum(1)
-        model.fit(flat, start, (target / np.maximum(many, 1)[:, None]).astype(np.float32), weight, passes)
-        logits = model.table()
+        for _ in range(passes):
+            model.fit(flat, start, (target / np.maximum(many, 1)[:, None]).astype(np.float32), weight)
+            logits = model.table()
+            if r >= len(PASSES) - 2:
+                late.append((logits, model.b.copy()))
         z = np.empty((len(ids), len(CLASSES)), np.float32)
         for at in range(0, len(ids), 20_000):
             to = min(len(ids), at + 20_000)
             f = flat[start[at] : start[to]]
-            z[at:to] = np.add.reduceat(logits[f], start[at:to] - start[at], axis=0) / np.diff(start[at : to + 1])[:, None] + model.b
+            z[at:to] = np.add.reduceat(np.take(logits, f, axis=0), start[at:to] - start[at], axis=0) / np.diff(start[at : to + 1])[:, None] + model.b
         p = np.exp(z - z.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
         q = np.clip(1 - p[seg, 0], 1e-4, 1 - 1e-4)
@@ -206,65 +345,106 @@ def train(texts: list[str | None], labels: list[int]) -> tuple[np.ndarray, np.nd
         other = p[seg][:, 1:] / np.maximum(p[seg][:, 1:].sum(1, keepdims=True), 1e-9)
         kind[~positive, 1:] = other[~positive]
         kind[~positive, 0] = 0
-    return model.table(), model.b
+    return np.mean([x for x, _ in late], axis=0, dtype=np.float32), np.mean([b for _, b in late], axis=0, dtype=np.float32)
 
 
 class Scorer:
-    """Class probabilities of a text's worst segment."""
-
-    def __init__(self, logits: np.ndarray, bias: np.ndarray):
-        self.logits, self.bias = logits, bias
-        self.known: dict[str, tuple[np.ndarray, int]] = {}
-
-    def _word(self, w: str) -> tuple[np.ndarray, int]:
-        got = self.known.get(w)
-        if got is None:
-            f = word_features(w)
-            got = (self.logits[f].sum(0, dtype=np.float64), len(f))
-            if len(self.known) > 200_000:
-                self.known.clear()
-            self.known[w] = got
-        return got
-
-    def score(self, text: str | None) -> tuple[float, list[float]]:
-        best, probs = 0.0, [0.0] * (len(CLASSES) - 1)
-        for s in segments(text):
-            for ws in windows(words(s)):
-                f = pair_features(ws)
-                z, n = self.logits[f].sum(0, dtype=np.float64), len(f)
-                for w in ws:
-                    v, k = self._word(w)
-                    z = z + v
-                    n += k
-                z = z / n + self.bias
-                p = np.exp(z - z.max())
-                p /= p.sum()
-                if 1 - p[0] > best:
-                    best, probs = float(1 - p[0]), [float(x) for x in p[1:]]
-        return best, probs
-
-
-def labelled(spark: SparkSession, folder: str, rows: int = TRAIN_ROWS) -> tuple[list[str | None], list[int]]:
-    """Texts and classes of at most about ``rows`` labelled documents: the class most raters gave, of equals the one named first in CLASSES.
-    Labels that name no class are left out."""
+    """Class probabilities of each text's worst segment."""
+
+    def __init__(self, logits: np.ndarray, bias: np.ndarray, remember: int = 200_000):
+        self.logits, self.bias, self.remember = logits, bias, remember
+        self.forget()
+
+    def forget(self) -> None:
+        self.vocabulary = Vocabulary()
+        self.sums, self.counts = np.zeros((2, len(CLASSES)), np.float32), np.zeros(2, np.int64)
+        self.known: dict[str, int] = {}
+        self.worst = np.zeros((0, len(CLASSES)), np.float32)
+
+    def _learn(self, segs: list[str]) -> None:
+        """Probabilities of segments not met before."""
+        segment, flat, start = self.vocabulary.encode(segs)
+        new = self.vocabulary.new_words(len(self.counts))
+        if new:
+            features, n = word_features(new, self.vocabulary.hashes[len(self.counts) :])
+            self.sums = np.concatenate((self.sums, np.add.reduceat(np.take(self.logits, features, axis=0), np.cumsum(n) - n, axis=0)))
+            self.counts = np.concatenate((self.counts, n))
+        row, place, n = window_places(start)
+        flat, start, owner = flat[spread(place, n)], np.concatenate(([0], np.cumsum(n))), segment[row]
+        p = np.zeros((len(segs), len(CLASSES)), np.float32)
+        p[:, 0] = 1
+        if len(row):
+            pair, pair_start = self.vocabulary.pairs(flat, start)
+            z = np.add.reduceat(np.take(self.sums, flat, axis=0), start[:-1], axis=0) + np.add.reduceat(np.take(self.logits, pair, axis=0), pair_start[:-1], axis=0)
+            z = z / (np.add.reduceat(np.take(self.counts, flat), start[:-1]) + np.diff(pair_start))[:, None] + self.bias
+            q = np.exp(z - z.max(1, keepdims=True))
+            q /= q.sum(1, keepdims=True)
+            order = np.lexsort((q[:, 0], owner))  # of the windows of a segment the worst comes first
+            first, at = np.unique(owner[order], return_index=True)
+            p[first] = q[order][at]
+        self.known.update(zip(segs, range(len(self.worst), len(self.worst) + len(segs)), strict=True))
+        self.worst = np.concatenate((self.worst, p))
+
+    def score(self, texts: list[str | None]) -> np.ndarray:
+        """One row a text: its score, then the chance of each harmful class; 0 for a text without words."""
+        if len(self.known) > self.remember or len(self.vocabulary) > self.remember:
+            self.forget()
+        own = [segments(t) for t in texts]
+        new = list({s: None for o in own for s in o if s not in self.known})
+        if new:
+            self._learn(new)
+        out = np.zeros((len(texts), len(CLASSES)))
+        n = np.array([len(o) for o in own], np.int64)
+        if n.sum():
+            p = self.worst[[self.known[s] for o in own for s in o]]
+            doc = np.repeat(np.arange(len(texts)), n)
+            order = np.lexsort((p[:, 0], doc))
+            first, at = np.unique(doc[order], return_index=True)
+            worst = p[order][at].astype(np.float64)
+            out[first, 0], out[first, 1:] = np.maximum(0, 1 - worst[:, 0]), worst[:, 1:]
+        return out
+
+
+def labelled(spark: SparkSession, folder: str, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> tuple[list[str | None], list[int]]:
+    """Texts and classes of a sample of the labelled documents: the class most raters gave, of equals the one named first in CLASSES.
+
+    At most about ``rows`` documents and ``chars`` characters: more are thinned by a hash of doc_id, whole documents only; a text of
+    more than a hundredth of ``chars`` is not learned from.  Labels that name no class are left out.
+    """
     m = table(spark, folder, "moderation_labels").select("doc_id", F.lower(strip(F.col("category"))).alias("c")).where(F.col("c").isin(*CLASSES) & F.col("doc_id").isNotNull())
-    n = m.count()
-    if n > rows:
-        m = m.where(unit_hash("doc_id", seed=63) < rows / n)
-    votes: dict[int, Counter] = defaultdict(Counter)
-    got = m.join(table(spark, folder, "documents").select("doc_id", "text"), "doc_id").toArrow()
-    texts = {}
-    for d, c, t in zip(got["doc_id"].to_pylist(), got["c"].to_pylist(), got["text"].to_pylist(), strict=True):
-        votes[d][c] += 1
-        texts[d] = t
-    ids = sorted(votes)
-    return [texts[d] for d in ids], [CLASSES.index(max(CLASSES, key=lambda c, d=d: votes[d][c])) for d in ids]
+    votes = m.groupBy("doc_id").agg(*[F.count_if(F.col("c") == c).alias(c) for c in CLASSES])
+    named = F.array_position(F.array(*CLASSES), F.greatest(*CLASSES)) - 1
+    docs = table(spark, folder, "documents").select("doc_id", "text").where(F.coalesce(F.length("text"), F.lit(0)) <= chars // 100)
+    got = votes.select("doc_id", named.cast("int").alias("label"), unit_hash("doc_id", seed=63).alias("u")).join(docs, "doc_id")
+    got = Scratch(spark, "labelled").cut(got, "texts")
+    n, size = got.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    part = got.where(F.col("u") < min(1.0, rows / max(n, 1), chars / max(size, 1))).orderBy("doc_id").select("text", "label").toArrow()
+    return part["text"].to_pylist(), part["label"].to_pylist()
+
+
+_FITTED: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def fitted(spark: SparkSession, folder: str) -> tuple[np.ndarray, np.ndarray]:
+    """The model of a folder's labels; queries of one session share it as long as the files of the labels stay the same."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    files = []
+    for f in sorted(table(spark, folder, "moderation_labels").inputFiles()):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f)
+        status = path.getFileSystem(conf).getFileStatus(path)
+        files.append((f, status.getLen(), status.getModificationTime()))
+    key = (spark.sparkContext.applicationId, folder, tuple(files))
+    if key not in _FITTED:
+        _FITTED.clear()
+        _FITTED[key] = train(*labelled(spark, folder))
+    return _FITTED[key]
 
 
 def score_documents(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, score, abuse, hate, sexual) of every row; 0 for NULL, empty and blank texts.  The score is that of the worst segment.
 
-    The model (one number for each feature and class, 4 MB whatever the corpus) goes to the executors once.
+    The model (one number for each feature and class, 4 MB whatever the corpus) goes to the executors once.  Texts are scored
+    some million characters at a time.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
@@ -272,16 +452,23 @@ def score_documents(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], key:
     def score(batches):
         s = Scorer(*shared.value)
         for b in batches:
-            got = [s.score(x) for x in b.column(1).to_pylist()]
-            cols = [b.column(0), pa.array([g[0] for g in got], pa.float64()), *[pa.array([g[1][i] for g in got], pa.float64()) for i in range(3)]]
-            yield pa.RecordBatch.from_arrays(cols, [key, "score", *CLASSES[1:]])
+            texts, got, at = b.column(1).to_pylist(), [], 0
+            while at < len(texts):
+                stop, size = at, 0
+                while stop < len(texts) and size < 2_000_000:
+                    size += len(texts[stop] or "")
+                    stop += 1
+                got.append(s.score(texts[at:stop]))
+                at = stop
+            x = np.concatenate(got) if got else np.zeros((0, len(CLASSES)))
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(np.ascontiguousarray(x[:, i]), pa.float64()) for i in range(len(CLASSES))]], [key, "score", *CLASSES[1:]])
 
     kind = dict(docs.dtypes)[key]
     return docs.select(key, text).mapInArrow(score, f"`{key}` {kind}, score double, abuse double, hate double, sexual double")
 
 
 def p10_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return score_documents(table(spark, folder, "documents"), train(*labelled(spark, folder)))
+    return score_documents(table(spark, folder, "documents"), fitted(spark, folder))
 
 
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
