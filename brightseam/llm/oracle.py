@@ -90,7 +90,45 @@ def oracle_sql() -> dict[str, str]:
         "near as (select a.r a, b.r b, array_cosine_similarity(a.e, b.e) s from v a join v b on a.r <> b.r where array_cosine_similarity(a.e, b.e) >= 0.92), "
         "best as (select a, b from near qualify row_number() over (partition by a order by s desc, b) <= 5) select distinct least(a, b) row_a, greatest(a, b) row_b from best"
     )
+    p1_check = (
+        f"with {KNOWN}, one as (select {key('path')} k, min({label('current_label')}) l from manifest_clean where {key('path')} in (select k from known) group by 1) "
+        "select coalesce(l, 'none') as \"label\", count(*) images, 0::bigint broken, true near from one group by 1"
+    )
+    last = "arg_max({v}, row({o}, path)) filter ({w})"
+    p3_rows = (
+        f"with recursive {KNOWN}, {LATEST}, {p3_links}, {REACH}, members as materialized ({sizes}), "
+        f"full_size as materialized (select *, case when {size_ok} then {number('r.width')} end w, case when {size_ok} then {number('r.height')} end h, {label('r.current_label')} l, {source('r.capture_source')} s from members) "
+        f"select group_path, {last.format(v='w', o='w * h, r.audited_at', w='w is not null')} width, {last.format(v='h', o='w * h, r.audited_at', w='w is not null')} height, "
+        f"{last.format(v='l', o='r.audited_at', w='l is not null')} as \"label\", {last.format(v='s', o='r.audited_at', w='s is not null')} source from full_size group by 1"
+    )
+    p4_im = f"im as materialized (select k, r.path path, {source('r.capture_source')} src, sp, list_contains(sp, 'train') tr, len(list_filter(sp, lambda x: x <> 'train')) > 0 ev, case when {blank('r.error')} then {digest('r.sha256')} end d from (select {key('path')} k, list(distinct {split}) sp from embedding_manifest where {split} is not null group by 1) join latest using (k))"
+    p4_report = (
+        f"with {LATEST}, {p4_im}, cand as (select x.k a, y.k b from im x join im y on x.d = y.d where x.ev and y.tr and x.k <> y.k union "
+        f"select x.k, y.k from (select {key('path_a')} a, {key('path_b')} b from near_duplicate_pairs union select {key('path_b')}, {key('path_a')} from near_duplicate_pairs) t join im x on x.k = t.a join im y on y.k = t.b where x.k <> y.k and x.ev and y.tr union select k, k from im where tr and ev) "
+        "select split, coalesce(src, 'unknown') capture_source, count(*) pairs, count(distinct a) images from (select a, src, unnest(list_filter(sp, lambda x: x <> 'train')) split from cand join im on im.k = a) group by 1, 2"
+    )
+    blanks = r"[ \t\r\n\f]+"
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    p4_texts = (
+        f"with spl as (select {key('path')} k, bool_or({split} = 'train') tr, bool_or({split} <> 'train') ev from embedding_manifest where {split} is not null group by 1), "
+        f"docs as materialized (select doc_id, tr, ev, list_filter(string_split_regex({low}, '{blanks}'), lambda x: x <> '') w from documents join spl on k = {key('image_path')} where text is not null), "
+        "sh as materialized (select doc_id, tr, ev, list_sort(list_distinct(list_transform(range(1, greatest(1, len(w) - 4) + 1), lambda i: array_to_string(w[i:i + 4], ' ')))) s from docs where len(w) > 0), "
+        "el as materialized (select doc_id, unnest(s) s from sh), common as (select a.doc_id a, b.doc_id b, count(*) c from el a join el b using (s) where a.doc_id in (select doc_id from sh where ev) and b.doc_id in (select doc_id from sh where tr) and a.doc_id <> b.doc_id group by 1, 2), "
+        "link as (select a, count(*) n from common join sh x on x.doc_id = a join sh y on y.doc_id = b where c >= 0.8 * (len(x.s) + len(y.s) - c) - 1e-9 group by 1) "
+        "select doc_id, min(doc_id) over (partition by s) class_id, coalesce(n, 0) links from sh left join link on a = doc_id where ev"
+    )
+    quota = (
+        f"with {KNOWN}, {HAVE}, t as (select request_id, label, target_share s, sample_size z, min_rows m, available, need, sum(min_rows) over (partition by request_id) mins from (select t.*, coalesce(n, 0) available, greatest(cast(round_even(target_share * sample_size, 0) as bigint), min_rows) need from (select distinct * from sample_targets) t left join have using (label))), "
+        "seat as (select *, row_number() over (partition by request_id order by case when k <= m then 0 else 1 end, case when s > 0 then (k - 0.5) / s else 1e300 end, label) seat from (select *, unnest(range(1, available + 1)) k from t) where k <= m or s > 0), "
+        "got as materialized (select request_id, label, count(*) taken from seat where seat <= z group by 1, 2), report as (select t.*, coalesce(taken, 0) taken from t left join got using (request_id, label)) "
+    )
     return {
+        "p1_check": p1_check,
+        "p3_survivors": p3_rows,
+        "p4_report": p4_report,
+        "p4_texts": p4_texts,
+        "p6_report": quota + "select request_id, label, need, available, taken, greatest(0, need - taken) missing, case when need <= taken then '' when need > available then 'too few' when mins > z then 'minima above size' else 'crowded out' end reason from report",
+        "p6_check": quota + "select request_id, label, taken as \"rows\", taken images, 0::bigint wrong from report where taken > 0",
         "p1_found": p1,
         "p2_found": p2,
         "p2_group_sizes": f"with recursive {KNOWN}, {P2_LINKS}, {REACH}, s as (select g, count(*) group_size from grp group by 1) select group_size, count(*) as groups from s group by 1",

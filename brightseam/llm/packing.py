@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.ranking import spread_row_number, unit_hash
@@ -13,36 +14,47 @@ from .bpe import token_counts, vocabulary_path
 from .images import table
 
 
+#: Numbers of one size that make one key when items are joined with their places.
+BLOCK = 50_000
+
+
 def reduce_dominated(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, tuple[int, ...]]], dict[int, int]]:
     """Containers fixed by dominance, and the sizes that are left.
 
     For the largest size j: if no other item fits beside it, it is alone; if the largest that fits fills the
     container, or only one more can fit at all, or at most two more can and no two fill more than the
     largest one does, then j with that one dominates every other container of j.  Otherwise j is left.
-    ``counts`` maps size to number; equal sizes are fixed together, so the work grows with the number of sizes.
+    ``counts`` maps size to number.  What fits beside j only gets less as items go, so a dominance that holds once holds until j or
+    its partner runs out: all those containers are fixed at once.  Each step uses up a size, or all but one item of it, so
+    there are at most twice as many entries as sizes, however many items.
     """
     left = {s: n for s, n in counts.items() if n > 0 and s > 0}
-    sizes = sorted(left)
+    present = sorted(left)
     fixed: list[tuple[int, tuple[int, ...]]] = []
-    for j in reversed(sizes):
-        while left.get(j, 0):
+
+    def gone(size: int) -> None:
+        if not left[size]:
+            del present[bisect_left(present, size)]
+
+    for j in sorted(left, reverse=True):
+        while left[j]:
             room = capacity - j
-            left[j] -= 1
-            present = [s for s in sizes if left.get(s, 0)]  # ascending
-            left[j] += 1
-            fit = [s for s in present if s <= room]
+            alone = left[j] == 1  # then no second item of size j fits beside it
+            fit = present[: bisect_right(present, room)]
+            if alone and fit and fit[-1] == j:
+                fit.pop()
             if not fit:
                 fixed.append((left[j], (j,)))
                 left[j] = 0
+                gone(j)
                 break
             best = fit[-1]
-            small = []
+            small: list[int] = []
             for s in fit[:3]:
                 small += [s] * min(3 - len(small), left[s] - (s == j))
             most = 0
-            for s in small:
-                if sum(small[: most + 1]) <= room:
-                    most += 1
+            while most < len(small) and sum(small[: most + 1]) <= room:
+                most += 1
             ok = best == room or most == 1
             if not ok and most == 2:
                 lo, hi, two = 0, len(fit) - 1, 0
@@ -59,11 +71,12 @@ def reduce_dominated(counts: dict[int, int], capacity: int) -> tuple[list[tuple[
             if not ok:
                 break
             n = left[j] // 2 if best == j else min(left[j], left[best])
-            # which sizes fit most changes as items go; a perfect partner stays perfect, other cases are looked at again
-            n = n if best == room else 1
             fixed.append((n, (j, best)))
             left[j] -= n
             left[best] -= n
+            gone(j)
+            if best != j:
+                gone(best)
     return fixed, {s: n for s, n in left.items() if n}
 
 
@@ -146,20 +159,18 @@ def fill_containers(items: DataFrame, runs: list[tuple[str, int]]) -> DataFrame:
         where = spark.createDataFrame(slots(plan) or [(-1, 0, 0, 0, 1)], "size bigint, lo bigint, hi bigint, first bigint, each bigint")
         small = rest.where("size > 0").withColumn("u", unit_hash("item", seed=9))
         ranked = spread_row_number(small, ["size"], ["item"], "k", u="u", sizes=counts.withColumnRenamed("n", "__n"))
-        same = (ranked["size"] == where["size"]) & (ranked["k"] > where["lo"]) & (ranked["k"] <= where["hi"])
-        # at most some entries for each size up to the capacity
-        placed = ranked.join(F.broadcast(where), same).select("item", F.col("fulls").alias("piece"), ranked["size"].alias("tokens"), (F.col("first") + F.floor((F.col("k") - 1 - F.col("lo")) / F.col("each"))).cast("bigint").alias("container"))
+        # both sides are cut into blocks of numbers, so that no size, however frequent, is one key of the join
+        block = lambda c: F.floor(c / F.lit(BLOCK))
+        where = where.withColumn("block", F.explode(F.sequence(block(F.col("lo")), block(F.greatest(F.col("lo"), F.col("hi") - 1)))))
+        same = (ranked["size"] == where["size"]) & (block(ranked["k"] - 1) == where["block"]) & (ranked["k"] > where["lo"]) & (ranked["k"] <= where["hi"])
+        placed = ranked.join(where, same).select("item", F.col("fulls").alias("piece"), ranked["size"].alias("tokens"), (F.col("first") + F.floor((F.col("k") - 1 - F.col("lo")) / F.col("each"))).cast("bigint").alias("container"))
         empty = rest.where("size = 0 and fulls = 0").select("item", F.lit(0).cast("bigint").alias("piece"), F.lit(0).cast("bigint").alias("tokens"), F.lit(0).cast("bigint").alias("container"))
         cut = rest.where("fulls > 0").withColumn("u", unit_hash("item", seed=9)).withColumn("one", F.lit(1))
         # full containers are numbered item by item; their order is that of the items' hashes
         wide = spread_row_number(cut, ["fulls"], ["item"], "k", u="u")
-        before = wide.groupBy("fulls").agg((F.count(F.lit(1)) * F.first("fulls")).alias("c"))
-        offsets = {}
-        at = shared
-        for r in sorted(before.collect(), key=lambda r: r["fulls"]):
-            offsets[r["fulls"]] = at
-            at += r["c"]
-        base = spark.createDataFrame(list(offsets.items()) or [(-1, 0)], "fulls bigint, base bigint")
+        before = wide.groupBy("fulls").agg((F.count(F.lit(1)) * F.col("fulls")).alias("c"))
+        w = Window.orderBy("fulls").rowsBetween(Window.unboundedPreceding, -1)  # one row for each number of full containers an item takes
+        base = before.select("fulls", (F.lit(shared) + F.coalesce(F.sum("c").over(w), F.lit(0))).alias("base"))
         whole = wide.join(base, "fulls").select("item", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("fulls") - 1)).alias("piece"), "fulls", "k", "base")
         whole = whole.select("item", "piece", cap.cast("bigint").alias("tokens"), (F.col("base") + (F.col("k") - 1) * F.col("fulls") + F.col("piece")).alias("container"))
         outs.append(placed.union(empty).union(whole).select(F.lit(run).alias("run_name"), "item", "piece", "tokens", "container"))

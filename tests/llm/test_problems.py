@@ -375,3 +375,96 @@ def test_grid_tells_regions_apart():
 def test_group_members(spark, small):
     sizes = {r["group_size"]: r["groups"] for r in groups.p2_group_sizes(spark, small).collect()}
     assert sum(k * v for k, v in sizes.items()) == len(plain.p2(small))
+
+
+@pytest.mark.parametrize("window, listed", [(5, 1 << 20), (1 << 24, 0)])
+def test_closest_subset_of_wide_windows(window, listed):
+    """A narrow window with a list of sums, and bits alone, both give the closest sum; common divisors change nothing."""
+    rng = random.Random(3)
+    for _ in range(300):
+        g = rng.choice([1, 3])
+        items = [(g * rng.randint(1, 9), rng.randint(0, 3)) for _ in range(4)]
+        target = rng.randint(0, 60)
+        sums = {sum(s * n for (s, _), n in zip(items, ns)) for ns in itertools.product(*[range(m + 1) for _, m in items])}
+        take = splits.closest_subset(items, target, window, listed)
+        assert all(0 <= t <= m for t, (_, m) in zip(take, items))
+        assert abs(sum(s * n for (s, _), n in zip(items, take)) - target) == min(abs(x - target) for x in sums)
+
+
+def test_a_giant_group_beside_single_records():
+    sizes = [(200_000_000, 1), (1, 4_000_000_000)]
+    got = splits.fill_plan(sizes, [("val", 520_000_000), ("test", 520_000_000)], "train")
+    have = {}
+    for size, lo, hi, split in got:
+        have[split] = have.get(split, 0) + size * (hi - lo)
+    assert have == {"val": 520_000_000, "test": 520_000_000, "train": 3_160_000_000}
+    many = splits.closest_subset([(7919 * i + 3, 3) for i in range(1, 4001)], 900_000_000)
+    assert abs(sum(n * (7919 * i + 3) for i, n in enumerate(many, 1)) - 900_000_000) < 10_000
+
+
+def test_mixed_groups_split_evenly(spark):
+    """Groups of mixed labels, of several kinds of one size, take their shares too."""
+    rows = [(4 * g + i, str(i % (1 + g % 3))) for g in range(300) for i in range(4)]
+    records = spark.createDataFrame(rows, "id bigint, label string")
+    edges = spark.createDataFrame([(4 * g, 4 * g + i) for g in range(300) for i in range(1, 4)], "u bigint, v bigint")
+    got = splits.grouped_split(records, edges).collect()
+    assert len(got) == 1200 and len({(r["root"], r["split"]) for r in got}) == 300
+    for k in "012":
+        own = [r["split"] for r in got if r["label"] == k]
+        assert abs(own.count("val") - len(own) / 10) <= 8 and abs(own.count("test") - len(own) / 10) <= 8
+
+
+@pytest.mark.parametrize("m", [2_000, 16_000])
+def test_fixed_containers_do_not_grow_with_the_items(m):
+    fixed, left = packing.reduce_dominated({90: m, 6: m, 7: m, 95: m}, 100)
+    assert len(fixed) == 2
+    assert sum(n for n, _ in fixed) == 2 * m and left == {6: m}
+
+
+def test_quotas_stay_within_the_size():
+    rng = random.Random(6)
+    for _ in range(300):
+        rows = [(k, rng.choice([0, 0.1, 0.25, 0.5]), rng.randint(0, 30), rng.choice([0, 3, 20])) for k in "abc"]
+        size = rng.randint(0, 60)
+        got = sampling.divisor_quotas(rows, size, strict=True)
+        order = sorted((0 if k <= m else 1, (k - 0.5) / s if s else math.inf, c) for c, s, n, m in rows for k in range(1, n + 1) if k <= m or s)
+        want = {c: 0 for c in "abc"}
+        for _, _, c in order[:size]:
+            want[c] += 1
+        assert got == want, (rows, size)
+
+
+def test_report_names_the_reason(spark):
+    have = spark.createDataFrame([("0", 100), ("1", 100), ("2", 5)], "label string, n bigint")
+    rows = [(1, "0", 0.9, 100, 0), (1, "1", 0.05, 100, 30), (1, "2", 0.05, 100, 30), (2, "0", 0.5, 100, 60), (2, "1", 0.5, 100, 60)]
+    t = spark.createDataFrame(rows, "request_id bigint, label string, target_share double, sample_size bigint, min_rows bigint")
+    got = {(r["request_id"], r["label"]): (r["need"], r["taken"], r["missing"], r["reason"]) for r in sampling.sampling_report(have, t).collect()}
+    assert got == {(1, "0"): (90, 65, 25, "crowded out"), (1, "1"): (30, 30, 0, ""), (1, "2"): (30, 5, 25, "too few"), (2, "0"): (60, 50, 10, "minima above size"), (2, "1"): (60, 50, 10, "minima above size")}
+    records = spark.range(205).select("id", F.when(F.col("id") < 100, "0").when(F.col("id") < 200, "1").otherwise("2").alias("label"), F.lit(1).alias("request_id"))
+    short = {(r["request_id"], r["label"]): (r["drawn"], r["reason"]) for r in sampling.shortages(records, t).collect()}
+    assert short == {(1, "0"): (65, "crowded out"), (1, "2"): (5, "too few"), (2, "0"): (50, "minima above size"), (2, "1"): (50, "minima above size")}
+
+
+def test_copies_meet_as_classes(spark):
+    """A hundred copies on either side are one pair of classes."""
+    ev = spark.createDataFrame([(i, [1, 2, 3]) for i in range(100)] + [(200, [9])], "id bigint, shingles array<bigint>")
+    tr = spark.createDataFrame([(1000 + i, [3, 2, 1, 1]) for i in range(100)], "id bigint, shingles array<bigint>")
+    pairs, em, tm = leakage.overlapping_classes(ev, tr)
+    assert [tuple(r) for r in pairs.collect()] == [(0, 1000, 3, 3, 3)] and em.count() == 101 and tm.count() == 100
+    assert leakage.cross_split_overlap(ev, tr).count() == 10_000
+
+
+def test_overlap_report_counts_pairs(spark, small):
+    found = leakage.p4_found(spark, small).count()
+    report = leakage.p4_report(spark, small).collect()
+    assert report and sum(r["images"] for r in report) <= sum(r["pairs"] for r in report) and sum(r["pairs"] for r in report) >= found
+
+
+def test_checks_find_nothing(spark, small):
+    assert all(r["broken"] == 0 and r["near"] for r in splits.p1_check(spark, small).collect())
+    assert all(r["rows"] == r["images"] and r["wrong"] == 0 for r in sampling.p6_check(spark, small).collect())
+
+
+def test_long_runs_with_slashes_are_quick():
+    text = "/".join(["a" * 50] * 2_000) + " you idiot"
+    assert moderation.words(text)[-2:] == ["you", "idiot"]
