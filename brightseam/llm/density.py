@@ -10,10 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.dirt import class_label, cluster_name, strip
 from ..scratch import Scratch
 from .images import image_id, known_images, table
-from .vectors import DIM, Grid, learn_grid, matrix, sample_matrix, valid_manifest_rows, valid_vectors
+from .vectors import DIM, Grid, learn_grid_of_all, matrix, valid_manifest_rows, valid_vectors
 
-#: Vectors that the axes are learned from; every vector is then quantised.
-SAMPLE = 20_000
 #: A cell is dense from this share of all vectors on, and from LEAST vectors on.
 DENSITY, LEAST = 0.004, 4
 #: Vectors whose cosine with every mean is below this are clustered again among themselves.
@@ -60,11 +58,11 @@ def dense_cells(counted: DataFrame, total: int, density: float = DENSITY, least:
     return labels
 
 
-def density_clusters(vectors: DataFrame, sample: int = SAMPLE, density: float = DENSITY) -> DataFrame:
+def density_clusters(vectors: DataFrame, density: float = DENSITY) -> DataFrame:
     """(row, cluster, distance, cell_size): every vector in exactly one cluster, numbered from 0, largest first.
 
-    ``vectors``: (row unique, vec of DIM finite numbers, not all zero).  Axes are learned from a bounded sample; all
-    vectors are quantised and counted.  A vector of a dense cell belongs to that cell's cluster.  Vectors far from the
+    ``vectors``: (row unique, vec of DIM finite numbers, not all zero).  Axes are learned from all vectors, and all
+    are quantised and counted.  A vector of a dense cell belongs to that cell's cluster.  Vectors far from the
     mean of every cluster are quantised and counted again among themselves, until that finds no dense cell: so a cluster
     too small for an axis or a dense cell among all vectors is found among those left over.  Any other vector belongs
     to the cluster whose mean points nearest to it.  ``distance`` is Euclidean, between unit vector and mean direction.
@@ -79,7 +77,7 @@ def density_clusters(vectors: DataFrame, sample: int = SAMPLE, density: float =
         return spark.createDataFrame([], "row bigint, cluster int, distance double, cell_size bigint")
     means, sizes, settled, noise = np.zeros((0, DIM), np.float32), [], [], None
     while total:
-        grid = learn_grid(sample_matrix(rest, total, sample), noise=noise)
+        grid = learn_grid_of_all(rest, total, noise=noise)
         noise = grid.noise
         celled = scratch.cut(quantise(rest, grid), "celled")
         labels = dense_cells(celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n")), total, density)

@@ -1,7 +1,8 @@
-"""Usable vectors of the curation tables, and what is learned from a bounded sample of them."""
+"""Usable vectors of the curation tables, and the axes learned from them."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -69,6 +70,79 @@ class Grid:
         return (y >= self.h).astype(np.int8) - (y <= -self.h).astype(np.int8)
 
 
+def sum_over_rows(vectors: DataFrame, part: Callable[[np.ndarray], np.ndarray], shape: tuple[int, int]) -> np.ndarray:
+    """The sum of ``part`` of all rows of ``vec``, a matrix of ``shape``: one partial sum a task, added block by block on the executors."""
+    high, wide = shape
+    step = max(1, (1 << 16) // max(1, wide))
+    edges = list(range(0, high, step))
+
+    def run(batches):
+        acc = np.zeros(shape)
+        for b in batches:
+            x = matrix(b.column("vec"))
+            if len(x):
+                acc += part(x)
+        blocks = [acc[e : e + step].ravel() for e in edges]
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()), pa.array(blocks, pa.list_(pa.float64()))], ["i", "x"])
+
+    def add(t: pa.Table) -> pa.Table:
+        x = t["x"].combine_chunks()
+        total = x.flatten().to_numpy(zero_copy_only=False).reshape(len(t), -1).sum(0)
+        return pa.table([t["i"].slice(0, 1), pa.array([total], pa.list_(pa.float64()))], names=["i", "x"])
+
+    kind = "i int, x array<double>"
+    got = vectors.select("vec").mapInArrow(run, kind).groupBy("i").applyInArrow(add, kind).toArrow()
+    out = np.zeros(shape)
+    for i, x in zip(got["i"].to_pylist(), got["x"].to_pylist(), strict=True):
+        out[edges[i] : edges[i] + step] = np.reshape(x, (-1, wide))
+    return out
+
+
+def standing_out(second: np.ndarray, n: int, floor: float, noise: float | None) -> tuple[np.ndarray, float]:
+    """(principal axes that stand out of the noise, the noise's second moment) from the mean second moments of ``n`` rows."""
+    w, v = np.linalg.eigh(second)
+    w, v = w[::-1], v[:, ::-1]
+    low = max(float(np.median(w[len(w) // 2 :])), 1e-12) if noise is None else noise
+    q = max(1, int((w > floor * (low if noise is None else noise * (1 + np.sqrt(len(w) / n)) ** 2)).sum()))
+    return v[:, :q], low
+
+
+def learn_grid_of_all(vectors: DataFrame, total: int, h: float = 0.45, floor: float = 1.5, noise: float | None = None) -> Grid:
+    """``learn_grid`` over every row, in two passes: the second moments give the axes, and the moments of second to fourth order along
+    those q axes hold all that the rotation needs.  A task sends q^4 / 4 numbers at most."""
+    if not total:
+        return Grid(np.zeros((DIM, 0), np.float32), h)
+    second = sum_over_rows(vectors, lambda x: x.astype(np.float64).T @ x.astype(np.float64), (DIM, DIM)) / total
+    axes, low = standing_out(second, total, floor, noise)
+    q = axes.shape[1]
+    a, b = np.triu_indices(q)
+
+    def moments(x: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(a), len(a) + q))
+        for at in range(0, len(x), 4096):
+            z = x[at : at + 4096].astype(np.float64) @ axes
+            pairs = z[:, a] * z[:, b]
+            out += pairs.T @ np.hstack((pairs, z))
+        return out
+
+    m = sum_over_rows(vectors, moments, (len(a), len(a) + q)) / total
+    fourth, third = m[:, : len(a)], m[:, len(a) :]
+    twice = np.where(a == b, 1.0, 2.0)
+    r = np.eye(q)
+    for _ in range(300):
+        s = twice[:, None] * r[a] * r[b]  # the square of each coordinate, in products of two axes
+        u = fourth @ s
+        full = np.empty((q, q, q))
+        full[a, b], full[b, a] = u, u
+        left, _, right = np.linalg.svd(np.einsum("abj,bj->aj", full, r))
+        done = np.abs(left @ right - r).max() < 1e-6
+        r = left @ right
+        if done:
+            break
+    skew = np.einsum("pj,pc,cj->j", twice[:, None] * r[a] * r[b], third, r)
+    return Grid((axes @ r * np.where(skew < 0, -1, 1)).astype(np.float32), h, low)
+
+
 def learn_grid(sample: np.ndarray, h: float = 0.45, floor: float = 1.5, noise: float | None = None) -> Grid:
     """Principal axes that stand out of the noise, rotated so that each points at a dense region.
 
@@ -80,11 +154,9 @@ def learn_grid(sample: np.ndarray, h: float = 0.45, floor: float = 1.5, noise: f
     if not len(sample):
         return Grid(np.zeros((DIM, 0), np.float32), h)
     s = sample.astype(np.float64)
-    w, v = np.linalg.eigh(s.T @ s / len(s))
-    w, v = w[::-1], v[:, ::-1]
-    low = max(np.median(w[len(w) // 2 :]), 1e-12)
-    q = max(1, int((w > floor * (low if noise is None else noise * (1 + np.sqrt(len(w) / len(s))) ** 2)).sum()))
-    z = s @ v[:, :q]
+    v, low = standing_out(s.T @ s / len(s), len(s), floor, noise)
+    q = v.shape[1]
+    z = s @ v
     r = np.eye(q)
     for _ in range(300):
         y = z @ r
@@ -92,6 +164,6 @@ def learn_grid(sample: np.ndarray, h: float = 0.45, floor: float = 1.5, noise: f
         if np.abs(a @ b - r).max() < 1e-6:
             break
         r = a @ b
-    axes = v[:, :q] @ r
+    axes = v @ r
     axes = axes * np.where(((s @ axes) ** 3).sum(0) < 0, -1, 1)
-    return Grid(axes.astype(np.float32), h, low if noise is None else noise)
+    return Grid(axes.astype(np.float32), h, low)

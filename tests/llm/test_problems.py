@@ -468,3 +468,14 @@ def test_checks_find_nothing(spark, small):
 def test_long_runs_with_slashes_are_quick():
     text = "/".join(["a" * 50] * 2_000) + " you idiot"
     assert moderation.words(text)[-2:] == ["you", "idiot"]
+
+
+def test_grid_of_all_rows_equals_that_of_a_matrix(spark):
+    g = np.random.default_rng(6)
+    c = np.linalg.qr(g.normal(size=(64, 64)))[0][:7]
+    x = c[g.integers(0, 7, 6000)] * 0.65 + g.normal(size=(6000, 64)) * 0.095
+    df = spark.createDataFrame([(i, [float(y) for y in v]) for i, v in enumerate(x)], "row bigint, vec array<float>").repartition(5)
+    a = vectors.learn_grid_of_all(df, 6000)
+    b = vectors.learn_grid(vectors.matrix(df.select("vec").toArrow()["vec"]))
+    assert a.axes.shape == b.axes.shape == (64, 7) and np.allclose(np.abs(a.axes.T @ b.axes), np.eye(7), atol=1e-3)
+    assert a.noise == pytest.approx(b.noise, rel=1e-4)
