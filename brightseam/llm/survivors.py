@@ -49,9 +49,12 @@ def review_members(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select("id", "root", "group_path", "group_size").join(rows, "id")
 
 
-def survivors(members: DataFrame) -> DataFrame:
+def survivors(members: DataFrame, trust: dict[str, int] | None = None) -> DataFrame:
     """One row a group: the values that survive and the member each came from.
 
+    ``trust`` ranks capture sources: of two members whose value can be read, that of the source with the greater number
+    wins before anything else is compared; a source not named, or unreadable, counts 0.  Without it all sources are equal.
+
     Size: the largest area of unfailed audits with two positive sizes, of equal areas the one audited
     last.  Label and source: the member audited last whose value can be read.  Ties beyond that go to the
     greatest path.  NULL where no member qualifies.
@@ -59,13 +62,16 @@ def survivors(members: DataFrame) -> DataFrame:
     w, h = positive_number(F.col("width")), positive_number(F.col("height"))
     label, source = class_label(F.col("current_label")), source_code(F.col("capture_source"))
     at, path = F.col("audited_at"), F.col("path")
+    rank = F.lit(0)
+    if trust:
+        rank = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in trust.items() for x in kv]), source), F.lit(0))
     m = survivorship(
         members,
         "group_path",
         {
-            "size": (is_blank(F.col("error")) & w.isNotNull() & h.isNotNull(), [w * h, at], [path, w, h]),
-            "label": (label.isNotNull(), [at], [path, label]),
-            "source": (source.isNotNull(), [at], [path, source]),
+            "size": (is_blank(F.col("error")) & w.isNotNull() & h.isNotNull(), [rank, w * h, at], [path, w, h]),
+            "label": (label.isNotNull(), [rank, at], [path, label]),
+            "source": (source.isNotNull(), [rank, at], [path, source]),
         },
     )
     return m.select(

@@ -479,3 +479,10 @@ def test_grid_of_all_rows_equals_that_of_a_matrix(spark):
     b = vectors.learn_grid(vectors.matrix(df.select("vec").toArrow()["vec"]))
     assert a.axes.shape == b.axes.shape == (64, 7) and np.allclose(np.abs(a.axes.T @ b.axes), np.eye(7), atol=1e-3)
     assert a.noise == pytest.approx(b.noise, rel=1e-4)
+
+
+def test_trusted_sources_win(spark):
+    rows = [("g", "a", "10", "10", "0", "aa01", "", "2026-01-02"), ("g", "b", "5", "5", "1", "bb02", "", "2026-01-01"), ("g", "c", "99", "x", "?", "cc03", "", "2026-01-03")]
+    m = spark.createDataFrame(rows, "group_path string, path string, width string, height string, current_label string, capture_source string, error string, audited_at string").withColumn("audited_at", F.to_timestamp("audited_at"))
+    assert tuple(survivors.survivors(m).first()) == ("g", "a", 10, 10, "a", "0", "c", "cc03")
+    assert tuple(survivors.survivors(m, {"bb02": 2, "cc03": 1}).first()) == ("g", "b", 5, 5, "b", "1", "b", "bb02")
