@@ -287,11 +287,16 @@ def exact_scan(queries: DataFrame, vectors: DataFrame, k: int = 5, block: int =
             least = np.full(len(q), -8.0, np.float32)  # what a query's row must reach to be among its k best so far
             for b in batches:
                 x, rows = matrix(b.column("vec")), b.column("row").to_numpy()
+                place = np.minimum(np.searchsorted(order_ids, rows), len(order_ids) - 1) if len(q) else np.zeros(0, np.int64)
+                column = np.flatnonzero(order_ids[place] == rows) if len(q) else place  # rows that are queries themselves
+                asked = order_at[place[column]]
                 for at in range(0, len(q) if len(x) else 0, 2_000):
                     s = q[at : at + 2_000] @ x.T
-                    s[ids[at : at + 2_000, None] == rows[None, :]] = -9
-                    m = min(k, s.shape[1])
-                    floor = np.maximum(least[at : at + 2_000], -np.partition(-s[:, :1_000], m - 1, axis=1)[:, m - 1] if s.shape[1] >= 1_000 else -8)
+                    own = (asked >= at) & (asked < at + 2_000)
+                    s[asked[own] - at, column[own]] = -9
+                    floor = least[at : at + 2_000]
+                    if s.shape[1] >= 1_000 and floor.min() <= -8:
+                        floor = np.maximum(floor, -np.partition(-s[:, :1_000], k - 1, axis=1)[:, k - 1])
                     r, c = np.nonzero(s >= floor[:, None])
                     best = tuple(np.concatenate((u, v)) for u, v in zip(best, (ids[at : at + 2_000][r], rows[c], s[r, c].astype(np.float64)), strict=True))
                 best = _best(*best, k)
