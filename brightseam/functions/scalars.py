@@ -33,9 +33,9 @@ def basename(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
-def safe_name(path: Column, label: Column, side: str) -> Column:
+def safe_name(path: Column, label: Column, side: Column) -> Column:
     """File name of an image in a review folder."""
-    return F.concat(F.lit(f"{side}__label_"), label, F.lit("__"), basename(path))
+    return F.concat(side, F.lit("__label_"), label, F.lit("__"), basename(path))
 
 
 def ratio6(w: Column, h: Column) -> Column:

@@ -22,20 +22,41 @@ def _matrix(col) -> np.ndarray:
     return flat.reshape(len(col), -1) if len(col) else np.zeros((0, 1))
 
 
-def nearest_centroid(df: DataFrame, key: str, vector: str, centroids: np.ndarray) -> DataFrame:
-    """(key, cluster, distance): Euclidean, ties to the smaller cluster.  The k centroids go to every task."""
+def nearest_centroid(df: DataFrame, key: str, vector: str, centroids: np.ndarray, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(key, columns to ``keep``, cluster, distance): Euclidean, ties to the smaller cluster.  The k centroids go to every task."""
     c = np.asarray(centroids, np.float64)
 
+    def assign(batches):
+        for b in batches:
+            own, near = _nearest(_matrix(b.column(b.num_columns - 1)), c)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(own, pa.int32()), pa.array(near)], [key, *keep, "cluster", "distance"])
+
+    kinds = dict(df.dtypes)
+    schema = ", ".join(f"`{k}` {kinds[k]}" for k in (key, *keep))
+    return df.select(key, *keep, vector).mapInArrow(assign, f"{schema}, cluster int, distance double")
+
+
+def _nearest(x: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest row of ``c`` for each row of ``x``, and how far it is; some thousand rows at a time."""
+    own, near = np.zeros(len(x), np.int32), np.zeros(len(x))
+    step = max(1, int(4e6 // max(1, c.size)))
+    for at in range(0, len(x), step):
+        d = np.sqrt(((x[at : at + step, None, :] - c[None]) ** 2).sum(2))
+        own[at : at + step] = d.argmin(1)
+        near[at : at + step] = d.min(1)
+    return own, near
+
+
+def nearest_of_each(df: DataFrame, key: str, vector: str, fits: list[np.ndarray]) -> DataFrame:
+    """(key, vector, c0, c1, ..): the nearest centroid of several sets, in one pass."""
+
     def assign(batches):
         for b in batches:
             x = _matrix(b.column(1))
-            if not len(x):
-                continue
-            d = np.sqrt(np.maximum(0, ((x[:, None, :] - c[None]) ** 2).sum(2))) if x.shape[0] * c.size < 4e6 else np.stack([np.sqrt(((x - m) ** 2).sum(1)) for m in c], 1)
-            best = d.argmin(1)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(best, pa.int32()), pa.array(d[np.arange(len(x)), best])], [key, "cluster", "distance"])
+            yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(_nearest(x, c)[0], pa.int32()) for c in fits]], [key, vector, *[f"c{i}" for i in range(len(fits))]])
 
-    return df.select(key, vector).mapInArrow(assign, f"`{key}` {dict(df.dtypes)[key]}, cluster int, distance double")
+    kinds = dict(df.dtypes)
+    return df.select(key, vector).mapInArrow(assign, f"`{key}` {kinds[key]}, `{vector}` {kinds[vector]}, " + ", ".join(f"c{i} int" for i in range(len(fits))))
 
 
 def cluster_means(df: DataFrame, cluster: str, vector: str) -> DataFrame:
@@ -48,12 +69,15 @@ def fit_kmeans(df: DataFrame, vector: str, k: int, seeds: Iterable[int], max_ite
     """The fit of least cost over the seeds."""
     v = df.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features")).persist()
     try:
-        fits = [KMeans(k=k, seed=s, maxIter=max_iter, featuresCol="features").fit(v) for s in seeds]
-        return min(fits, key=lambda m: m.summary.trainingCost)
+        return min(fit_each(v, k, seeds, max_iter), key=lambda m: m.summary.trainingCost)
     finally:
         v.unpersist()
 
 
+def fit_each(features: DataFrame, k: int, seeds: Iterable[int], max_iter: int = 300) -> list[KMeansModel]:
+    return [KMeans(k=k, seed=s, maxIter=max_iter, featuresCol="features").fit(features) for s in seeds]
+
+
 def relabel_by_size(assigned: DataFrame, k: int, cluster: str = "cluster") -> DataFrame:
     """(cluster, new): clusters numbered from 0 by size, largest first, ties by old number; empty ones last."""
     spine = assigned.sparkSession.range(k).select(F.col("id").cast("int").alias(cluster))
@@ -121,19 +145,15 @@ def k_diagnostics(df: DataFrame, key: str, vector: str, ks: Iterable[int], seeds
     bad = [k for k in ks if not 1 < k < n]
     if bad:
         raise ContractError("candidate k outside 1 < k < rows", [str(k) for k in bad])
-    data = df.select(key, vector).persist()
+    data = df.select(key, vector, array_to_vector(F.col(vector).cast("array<double>")).alias("features")).persist()
     out = []
     try:
         for k in ks:
-            fits = [fit_kmeans(data, vector, k, [s], max_iter) for s in seeds]
-            labelled = [nearest_centroid(data, key, vector, np.array(m.clusterCenters())).select(key, F.col("cluster").alias(f"c{i}")) for i, m in enumerate(fits)]
-            j = labelled[0]
-            for x in labelled[1:]:
-                j = j.join(x, key)
-            j = j.persist()
+            fits = fit_each(data, k, seeds, max_iter)
+            j = nearest_of_each(data, key, vector, [np.array(m.clusterCenters()) for m in fits]).persist()
             aris = [adjusted_rand(j, f"c{a}", f"c{b}").first()[0] for a in range(len(fits)) for b in range(a + 1, len(fits))] or [1.0]
             sizes = j.groupBy("c0").agg(F.count(F.lit(1)).alias("n")).agg(F.min("n"), F.max("n"), F.median("n"), F.count_if(F.col("n") < tiny)).first()
-            sil = silhouette(data.join(j, key), key, vector, "c0", sample_size, sample_seed)
+            sil = silhouette(j, key, vector, "c0", sample_size, sample_seed)
             j.unpersist()
             cost = np.array([m.summary.trainingCost for m in fits])
             out.append((k, float(cost.mean()), float(cost.std()), sil, min(n, sample_size), sample_seed, sizes[0], sizes[1], float(sizes[2]), sizes[3], float(np.mean(aris)), float(min(aris)), len(fits)))
@@ -142,9 +162,17 @@ def k_diagnostics(df: DataFrame, key: str, vector: str, ks: Iterable[int], seeds
     return spark.createDataFrame(out, "k int, inertia_mean double, inertia_std double, silhouette double, silhouette_sample_size int, silhouette_sample_seed int, min_cluster_size bigint, max_cluster_size bigint, median_cluster_size double, tiny_cluster_count bigint, stability_ari_mean double, stability_ari_min double, n_stability_runs int")
 
 
+#: Why a k was chosen, with candidates that pass the gate and without.
+RATIONALE = {
+    True: "chosen without labels: highest silhouette among candidates without tiny clusters whose mean stability ARI is at least {}",
+    False: "chosen without labels: no candidate passes the gate on tiny clusters and stability, so the best compromise of tiny clusters, silhouette and stability",
+}
+
+
 def select_k(diagnostics: DataFrame, min_ari: float = 0.75) -> DataFrame:
-    """The row of the chosen k: stable ones without tiny clusters if there are any, else all; fewest tiny clusters, then
+    """The row of the chosen k, with ``rationale``: stable ones without tiny clusters if there are any, else all; fewest tiny clusters, then
     silhouette (NaN counts as -1), agreement, smallest k."""
     stable = (F.col("tiny_cluster_count") == 0) & (F.col("stability_ari_mean") >= min_ari)
     sil = F.when(F.isnan("silhouette"), -1.0).otherwise(F.col("silhouette"))
-    return diagnostics.withColumn("stable", stable).orderBy(F.desc("stable"), "tiny_cluster_count", sil.desc(), F.desc("stability_ari_mean"), "k").limit(1)
+    best = diagnostics.withColumn("stable", stable).orderBy(F.desc("stable"), "tiny_cluster_count", sil.desc(), F.desc("stability_ari_mean"), "k").limit(1)
+    return best.withColumn("rationale", F.when(F.col("stable"), RATIONALE[True].format(min_ari)).otherwise(RATIONALE[False]))

@@ -22,10 +22,10 @@ def exact_edges(exact: DataFrame, manifest: DataFrame) -> DataFrame:
     e = exact.select(F.xxhash64("paths").alias("g"), F.posexplode(split_list(F.col("paths"))).alias("pos", "path"))
     e = e.join(m, "path", "left_semi")
     first = e.groupBy("g").agg(F.min_by("path", "pos").alias("left"))
-    return e.join(first, "g").where("path <> left").select("left", F.col("path").alias("right"), F.lit("exact").alias("source")).distinct()
+    return e.join(first, "g").where("path <> left").select("left", F.col("path").alias("right"), F.lit("exact_duplicate").alias("source")).distinct()
 
 
-def pair_edges(pairs: DataFrame, source: str = "group_pair") -> DataFrame:
+def pair_edges(pairs: DataFrame, source: str = "dedup_group_pair") -> DataFrame:
     return pairs.select(F.col("path_a").alias("left"), F.col("path_b").alias("right"), F.lit(source).alias("source"))
 
 
@@ -36,6 +36,18 @@ def unsafe_near_pairs(near: DataFrame, explicit: DataFrame, manifest: DataFrame)
     return kept.select(F.least("left", "right").alias("lo"), F.greatest("left", "right").alias("hi")).distinct().join(norm(explicit), ["lo", "hi"], "left_anti")
 
 
+def constraint_counts(exact: DataFrame, pairs: DataFrame, near: DataFrame, manifest: DataFrame) -> dict[str, int]:
+    """How many exact groups and pairs there are, and how many of them the manifest retains."""
+    m = manifest.select("path").distinct()
+    cells = exact.select(F.monotonically_increasing_id().alias("g"), F.explode(split_list(F.col("paths"))).alias("path"))
+    more = lambda df: df.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").count()
+    kept = lambda df: retained(df.select(F.col("path_a").alias("left"), F.col("path_b").alias("right")), manifest).count()
+    return {
+        "exact_duplicate_groups_total": more(cells), "exact_duplicate_groups_retained_multi_path": more(cells.join(m, "path", "left_semi")),
+        "dedup_group_pairs_total": pairs.count(), "dedup_group_pairs_retained": kept(pairs), "retained_near_duplicate_pairs": kept(near),
+    }
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root) of each node of ``edges`` (left, right); the root is the least node of the component.
 
@@ -83,11 +95,15 @@ def component_groups(manifest: DataFrame, edges: DataFrame, labels: list[str] =
     return members, number_by(g, ["root"], "group_no").withColumn("group_id", F.format_string("G%05d", "group_no")).drop("group_no")
 
 
-def number_by(df: DataFrame, columns: list[str], out: str, ranges: int = 64) -> DataFrame:
-    """Rows numbered from 1 in the order of ``columns`` (NULL first): ranges are numbered apart and moved up by the rows
-    before, so no task holds all rows.  Rows equal in all of them are numbered in any order."""
-    parts = df.repartitionByRange(ranges, *columns).withColumn("__p", F.spark_partition_id())
-    parts = Scratch(df.sparkSession, "number").cut(parts, "ranges")
+def number_by(df: DataFrame, columns: list[str], out: str, rows_per_task: int = 200_000) -> DataFrame:
+    """Rows numbered from 1 in the order of ``columns`` (NULL first): ranges of about ``rows_per_task`` rows, cut at quantiles, are numbered
+    apart and moved up by the rows before, so no task holds all rows.  Rows equal in all columns are numbered in any order."""
+    scratch = Scratch(df.sparkSession, "number")
+    src = df if hasattr(df, "_scratch_path") else scratch.cut(df, "rows")
+    ranges = -(-src.count() // rows_per_task)
+    if ranges <= 1:
+        return src.withColumn(out, F.row_number().over(Window.orderBy(*columns)).cast("bigint"))  # at most rows_per_task rows
+    parts = scratch.cut(src.repartitionByRange(ranges, *columns).withColumn("__p", F.spark_partition_id()), "ranges")
     w_before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
     before = parts.groupBy("__p").agg(F.count(F.lit(1)).alias("__c")).withColumn("__b", F.coalesce(F.sum("__c").over(w_before), F.lit(0)))
     w = Window.partitionBy("__p").orderBy(*columns)

@@ -41,12 +41,12 @@ def cluster_summary(train: DataFrame, val: DataFrame, spine: DataFrame) -> DataF
     )
 
 
-def representatives(a: DataFrame, n: int) -> DataFrame:
-    """The n nearest and the n farthest of each split and cluster; a row may be both.  Ranks are limited before the shuffle."""
-    d = F.col("distance_to_centroid").cast("double")
-    x = a.withColumn("d", d)
-    near = x.withColumn("rank", F.row_number().over(Window.partitionBy("split", "cluster_id").orderBy("d", "path"))).where(F.col("rank") <= n)
-    far = x.withColumn("rank", F.row_number().over(Window.partitionBy("split", "cluster_id").orderBy(F.desc("d"), F.desc("path")))).where(F.col("rank") <= n)
+def representatives(a: DataFrame, n: int, order: str = "_ord") -> DataFrame:
+    """The n nearest and the n farthest of each split and cluster, ties by the row's place, of the farthest the later first; a row may be both.
+    Ranks are limited before the shuffle."""
+    x = a.withColumn("d", F.col("distance_to_centroid").cast("double"))
+    near = x.withColumn("rank", F.row_number().over(Window.partitionBy("split", "cluster_id").orderBy("d", order))).where(F.col("rank") <= n)
+    far = x.withColumn("rank", F.row_number().over(Window.partitionBy("split", "cluster_id").orderBy(F.desc("d"), F.desc(order)))).where(F.col("rank") <= n)
     cols = ["cluster_id", "split", "path", "label", "distance_to_centroid", "rank"]
     return near.select(*cols, F.lit("nearest").alias("representative_type")).unionByName(far.select(*cols, F.lit("farthest").alias("representative_type")))
 

@@ -26,8 +26,10 @@ def mixed_draw(groups: DataFrame, share: float, seed: int, labels: list[str] = L
     return m.withColumn("in_val", F.col("draw") < share)
 
 
-def running_sum(df: DataFrame, order: str, value: str, out: str, ranges: int = 64) -> DataFrame:
-    """Sum of ``value`` over the rows up to this one in the order of a unique column in [0, 1), spread over ranges."""
+def running_sum(df: DataFrame, order: str, value: str, out: str, rows: int, rows_per_task: int = 50_000) -> DataFrame:
+    """Sum of ``value`` over the rows up to this one in the order of an even column in [0, 1), ties by ``group_id``, spread over
+    ranges of about ``rows_per_task`` of at most ``rows`` rows."""
+    ranges = max(1, -(-rows // rows_per_task))
     parts = df.withColumn("__p", F.floor(F.col(order) * ranges).cast("int"))
     before = parts.groupBy("__p").agg(F.sum(value).alias("__s")).withColumn("__b", F.coalesce(F.sum("__s").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     own = F.sum(value).over(Window.partitionBy("__p").orderBy(order, "group_id").rowsBetween(Window.unboundedPreceding, 0))
@@ -47,10 +49,11 @@ def first_fit(groups: DataFrame, target: int) -> DataFrame:
     left, after = int(target), -1.0
     picked = spark.createDataFrame([], "group_id string")
     pool = scratch.cut(groups.select("group_id", "group_size", "draw"), "pool")
+    rows = pool.count()
     chosen: list[DataFrame] = []
     while left > 0:
         now = pool.where((F.col("draw") > after) & (F.col("group_size") <= left))
-        summed = scratch.cut(running_sum(now, "draw", "group_size", "cum"), "summed")
+        summed = scratch.cut(running_sum(now, "draw", "group_size", "cum", rows), "summed")
         stop = summed.where(F.col("cum") > left).agg(F.min("draw")).first()[0]
         take = summed if stop is None else summed.where(F.col("draw") < stop)
         got = take.agg(F.sum("group_size")).first()[0]

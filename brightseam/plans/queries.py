@@ -25,15 +25,19 @@ def t(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-# ---- stand-ins, each the same as its text in sql.py but for manifest(), whose SQL keeps the literal labels 0, 1, 2 only ----
+def ordered(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table with ``_ord``, the place of each row: file, then row of the file."""
+    return t(spark, folder, name).select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).alias("_ord"))
+
+
+# ---- stand-ins, each the same as its text in sql.py ----
 
 
 def manifest(spark, folder):
-    """One row a path: that of the least image_id, whatever its label."""
+    """One row a path, as the split asks for: that of the least image_id, whatever its label."""
     m = t(spark, folder, "manifest_clean").where("path is not null")
     s = F.min(F.struct(F.col("image_id").cast("bigint").alias("id"), "current_label", "class_name", "review_status", "reason")).alias("s")
-    m = m.groupBy("path").agg(s).select(F.col("s.id").cast("string").alias("image_id"), "path", "s.current_label", "s.class_name", "s.review_status", "s.reason")
-    return m
+    return m.groupBy("path").agg(s).select(F.col("s.id").cast("string").alias("image_id"), "path", "s.current_label", "s.class_name", "s.review_status", "s.reason")
 
 
 def labelled(spark, folder):
@@ -41,6 +45,12 @@ def labelled(spark, folder):
     return manifest(spark, folder).withColumn("current_label", F.coalesce(class_label(F.col("current_label")), F.lit(UNREADABLE)))
 
 
+def overridden(spark, folder):
+    """Rows of the manifest with the status that review actions give their path."""
+    gone = review.last_removal(ordered(spark, folder, "duplicate_review_actions")).select("path", F.lit("1").alias("review_status"), F.concat(F.lit("see "), "source_folder").alias("reason"))
+    return review.apply_overrides(t(spark, folder, "manifest_clean"), gone)
+
+
 def vectors_plus(spark, folder):
     v = t(spark, folder, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"), "label")
     last = F.concat(F.slice("embedding", 1, F.lit(63)), F.array(-F.get("embedding", F.lit(63))))
@@ -58,14 +68,16 @@ def items(spark, folder):
 
 
 def folders(spark, folder):
-    e = review.exact_folders(t(spark, folder, "exact_duplicates"), ["sha256", "paths"])
-    return e.unionByName(review.near_folders(t(spark, folder, "near_duplicate_pairs"), ["path_a", "path_b"]))
+    e = review.exact_folders(ordered(spark, folder, "exact_duplicates"), ["_ord"])
+    return e.unionByName(review.near_folders(ordered(spark, folder, "near_duplicate_pairs"), ["_ord"]))
 
 
-def decisions(spark, folder):
-    f = folders(spark, folder).select("folder", F.regexp_extract("folder", r"(\d+)$", 1).cast("bigint").alias("n")).where("n % 17 <> 0")
+def decided(spark, folder):
+    """(folders, decisions of most of them); the folders are stored, since both are built on them."""
+    f = Scratch(spark, "folders").cut(folders(spark, folder), "folders")
+    n = f.select("folder", F.regexp_extract("folder", r"(\d+)$", 1).cast("bigint").alias("n")).where("n % 17 <> 0")
     d = F.when(F.col("n") % 4 == 0, "a").when(F.col("n") % 4 == 1, " b ").when(F.col("n") % 4 == 2, "both").otherwise("ignore")
-    return f.select("folder", d.alias("decision"))
+    return f, n.select("folder", d.alias("decision"))
 
 
 def edges(spark, folder):
@@ -86,15 +98,15 @@ def centroids(spark, folder) -> np.ndarray:
 
 
 def assigned(spark, folder):
-    v = t(spark, folder, "embeddings")
-    a = cluster.nearest_centroid(v, "vec_id", "embedding", centroids(spark, folder)).join(v.select("vec_id", "label"), "vec_id")
-    a = a.select(F.col("vec_id").cast("string").alias("path"), (F.col("label") % 3).cast("string").alias("label"), "cluster", "distance", F.when(F.col("vec_id") % 5 == 0, "val").otherwise("train").alias("split"))
+    v = ordered(spark, folder, "embeddings").select("vec_id", "label", F.col("_ord.row").alias("_ord"), "embedding")
+    a = cluster.nearest_centroid(v, "vec_id", "embedding", centroids(spark, folder), ("label", "_ord"))
+    a = a.select(F.col("vec_id").cast("string").alias("path"), (F.col("label") % 3).cast("string").alias("label"), "cluster", "distance", F.when(F.col("vec_id") % 5 == 0, "val").otherwise("train").alias("split"), "_ord")
     return Scratch(spark, "assigned").cut(a, "assigned")
 
 
 def assignments(spark, folder):
     a = assigned(spark, folder)
-    return a, a.select("path", "label", F.format_string("C%02d", "cluster").alias("cluster_id"), fixed6(F.col("distance")).alias("distance_to_centroid"), "split")
+    return a, a.select("path", "label", F.format_string("C%02d", "cluster").alias("cluster_id"), fixed6(F.col("distance")).alias("distance_to_centroid"), "split", "_ord")
 
 
 def both_sides(spark, folder):
@@ -111,6 +123,11 @@ def exact_duplicate_groups(spark, folder):
     return audit.exact_groups(d, "sha", "doc_id", "doc_id")
 
 
+def exact_duplicate_rows(spark, folder):
+    d = t(spark, folder, "documents").select("doc_id", F.sha2("text", 256).alias("sha"))
+    return audit.exact_rows(d, "sha", "doc_id", "doc_id")
+
+
 def exact_duplicate_members(spark, folder):
     known = t(spark, folder, "image_audit").select("path").distinct()
     return audit.exact_members(t(spark, folder, "exact_duplicates")).join(known, "path", "left_semi").select("sha256", "pos", "path")
@@ -122,7 +139,7 @@ def audit_summary(spark, folder):
 
 def audit_rows_with_error(spark, folder):
     d = t(spark, folder, "documents")
-    return audit.audit_rows(d, "doc_id", F.col("text"), F.col("n_chars"), F.length("source"), F.when(F.coalesce("n_chars", F.lit(0)) < 20, "too short"))
+    return audit.audit_rows(d, "doc_id", F.sha2("text", 256), F.col("n_chars"), F.length("source"), F.when(F.coalesce("n_chars", F.lit(0)) < 20, "too short"))
 
 
 def class_counts(spark, folder):
@@ -130,7 +147,7 @@ def class_counts(spark, folder):
 
 
 def most_common_sizes_top10(spark, folder):
-    return audit.most_common_sizes(t(spark, folder, "image_audit").select("width", "height", "path"), "path")
+    return audit.most_common_sizes(ordered(spark, folder, "image_audit").select("width", "height", "error", "_ord"), "_ord")
 
 
 def manifest_projection(spark, folder):
@@ -138,7 +155,7 @@ def manifest_projection(spark, folder):
 
 
 def status(kind):
-    return lambda spark, folder: review.status_manifest(t(spark, folder, "manifest_clean"), kind)
+    return lambda spark, folder: review.status_manifest(overridden(spark, folder), kind)
 
 
 def batches(spark, folder):
@@ -167,9 +184,7 @@ def extra_review_paths(spark, folder):
 
 
 def override_status(spark, folder):
-    """Rows of the manifest with the status that review actions give their path."""
-    gone = review.last_removal(t(spark, folder, "duplicate_review_actions")).select("path", F.lit("1").alias("review_status"), F.concat(F.lit("see "), "source_folder").alias("reason"))
-    return review.apply_overrides(t(spark, folder, "manifest_clean"), gone).groupBy("review_status").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("reason").startswith("see ")).alias("overridden"))
+    return overridden(spark, folder).groupBy("review_status").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("reason").startswith("see ")).alias("overridden"))
 
 
 def manifest_contract_violations(spark, folder):
@@ -195,7 +210,8 @@ def near_duplicate_pairs(spark, folder):
 
 
 def near_duplicate_ranking(spark, folder):
-    return near_duplicate_pairs(spark, folder).orderBy(*neardup.pair_order()).limit(20).select("path_a", "path_b", "cross_label")
+    pairs = near_duplicate_pairs(spark, folder)
+    return components.number_by(pairs.withColumn("__o", F.struct(*neardup.order_keys())), ["__o"], "place").select("path_a", "path_b", "cross_label", "place")
 
 
 def near_duplicate_summary(spark, folder):
@@ -204,15 +220,21 @@ def near_duplicate_summary(spark, folder):
 
 
 def review_queue(spark, folder):
-    return review.review_queue(t(spark, folder, "exact_duplicates"), t(spark, folder, "near_duplicate_pairs"), ["path_a", "path_b"])
+    return review.review_queue(folders(spark, folder))
+
+
+def review_copies(spark, folder):
+    return review.review_copies(ordered(spark, folder, "exact_duplicates"), ordered(spark, folder, "near_duplicate_pairs"), ["_ord"])
 
 
 def duplicate_actions(spark, folder):
-    return review.duplicate_actions(decisions(spark, folder), folders(spark, folder))
+    f, d = decided(spark, folder)
+    return review.duplicate_actions(d, f)
 
 
 def missing_review_folders(spark, folder):
-    return review.missing_folders(decisions(spark, folder), folders(spark, folder))
+    f, d = decided(spark, folder)
+    return review.missing_folders(d, f)
 
 
 def actions_summary_counts(spark, folder):
@@ -220,11 +242,11 @@ def actions_summary_counts(spark, folder):
 
 
 def clean_manifest(spark, folder):
-    return review.clean_manifest(manifest(spark, folder), t(spark, folder, "duplicate_review_actions")).select("image_id", "path", "current_label")
+    return review.clean_manifest(t(spark, folder, "manifest_clean"), t(spark, folder, "duplicate_review_actions"))
 
 
 def removed_manifest(spark, folder):
-    return review.removed_manifest(manifest(spark, folder), t(spark, folder, "duplicate_review_actions"))
+    return review.removed_manifest(t(spark, folder, "manifest_clean"), ordered(spark, folder, "duplicate_review_actions"))
 
 
 def group_pairs(spark, folder):
@@ -275,14 +297,17 @@ def split_first_fit(spark, folder):
     return split.first_fit(g, target)
 
 
-def split_rows(spark, folder):
+def split_groups(spark, folder):
     members, groups = grouped(spark, folder)
-    splits = split.assign_splits(groups, split.collect_targets(val_targets(spark, folder), SPLIT_LABELS), VAL_SHARE, SEED, SPLIT_LABELS)
-    return split.split_rows(members, groups, splits)
+    return members, groups, split.assign_splits(groups, split.collect_targets(val_targets(spark, folder), SPLIT_LABELS), VAL_SHARE, SEED, SPLIT_LABELS)
+
+
+def split_rows(spark, folder):
+    return split.split_rows(*split_groups(spark, folder))
 
 
 def split_assignment(spark, folder):
-    return split_rows(spark, folder).select("group_id", "split").distinct()
+    return split_groups(spark, folder)[2]
 
 
 def side(name):
@@ -313,18 +338,54 @@ def lloyd_step(spark, folder):
 
 def kmeans_fit_sizes(spark, folder):
     v = t(spark, folder, "embeddings")
-    m = cluster.fit_kmeans(v, "embedding", 8, [63, 64, 65])
-    return cluster.relabel_by_size(cluster.nearest_centroid(v, "vec_id", "embedding", np.array(m.clusterCenters())), 8).select("new", "n")
+    m = cluster.fit_kmeans(v, "embedding", CENTROIDS, range(SEED, SEED + 10))
+    return cluster.relabel_by_size(cluster.nearest_centroid(v, "vec_id", "embedding", np.array(m.clusterCenters())), CENTROIDS).select("new", "n")
+
+
+def kmeans_check(spark, folder):
+    """Rows the fit assigns, whether all clusters have some, and whether its cost is the sum of the squared distances."""
+    v = t(spark, folder, "embeddings")
+    m = cluster.fit_kmeans(v, "embedding", CENTROIDS, range(SEED, SEED + 10))
+    own = cluster.nearest_centroid(v, "vec_id", "embedding", np.array(m.clusterCenters()))
+    cost = m.summary.trainingCost
+    total = own.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("cluster").alias("clusters"), F.sum(F.col("distance") ** 2).alias("d"))
+    return total.select("rows", "clusters", (F.abs(F.col("d") - cost) <= 1e-4 * cost).alias("same_cost"))
 
 
 def k_diagnostics(spark, folder):
-    return cluster.k_diagnostics(t(spark, folder, "embeddings"), "vec_id", "embedding", [4, 8], [63, 64])
+    return cluster.k_diagnostics(t(spark, folder, "embeddings"), "vec_id", "embedding", [12, 16, 20, 24, 32], [63, 64, 65])
+
+
+def k_diagnostics_check(spark, folder):
+    """What must hold of each candidate's row, whatever the fits."""
+    d = k_diagnostics(spark, folder)
+    n = t(spark, folder, "embeddings").count()
+    sizes = (F.col("min_cluster_size") <= F.col("median_cluster_size")) & (F.col("median_cluster_size") <= F.col("max_cluster_size")) & (F.col("min_cluster_size") * F.col("k") <= n) & (F.col("max_cluster_size") * F.col("k") >= n)
+    scores = F.col("silhouette").between(-1, 1) & F.col("stability_ari_mean").between(-1, 1) & (F.col("stability_ari_min") <= F.col("stability_ari_mean")) & (F.col("inertia_mean") > 0) & (F.col("inertia_std") >= 0)
+    return d.select("k", F.col("silhouette_sample_size").cast("bigint").alias("sample"), "n_stability_runs", sizes.alias("sizes_fit"), scores.alias("scores_fit"))
+
+
+#: Diagnostics of invented fits, by which the rule of choice is compared with its SQL: request, k, tiny clusters, silhouette, agreement.
+CHOICES = [
+    ("gate", 12, 0, 0.20, 0.80), ("gate", 16, 0, 0.30, 0.70), ("gate", 20, 0, 0.25, 0.90), ("gate", 24, 2, 0.90, 0.99),
+    ("none", 12, 3, 0.10, 0.20), ("none", 16, 1, float("nan"), 0.30), ("none", 20, 1, -0.50, 0.10), ("none", 24, 1, -0.50, 0.40),
+    ("tie", 12, 0, 0.50, 0.90), ("tie", 16, 0, 0.50, 0.90),
+]
 
 
 def select_k(spark, folder):
     return cluster.select_k(k_diagnostics(spark, folder)).select("k", "stable")
 
 
+def select_k_rule(spark, folder):
+    d = spark.createDataFrame(CHOICES, "request string, k int, tiny_cluster_count bigint, silhouette double, stability_ari_mean double")
+    out = None
+    for name in sorted({c[0] for c in CHOICES}):
+        own = cluster.select_k(d.where(F.col("request") == name)).select("request", "k", "stable")
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
 def silhouette_by_label(spark, folder):
     s = cluster.silhouette(t(spark, folder, "embeddings"), "vec_id", "embedding", "label")
     return spark.createDataFrame([(round(s, 6),)], "silhouette double")
@@ -382,12 +443,12 @@ def ordered_submission(spark, folder):
 
 def queries() -> dict[str, Query]:
     plain = [
-        exact_duplicate_groups, exact_duplicate_members, audit_summary, audit_rows_with_error, class_counts, most_common_sizes_top10, manifest_projection,
+        exact_duplicate_groups, exact_duplicate_rows, exact_duplicate_members, audit_summary, audit_rows_with_error, class_counts, most_common_sizes_top10, manifest_projection,
         review_union_with_expected_counts, review_errors_by_rule, missing_review_paths, extra_review_paths, override_status, manifest_contract_violations, existence_anti_join,
-        signature_hex, hamming_distance, near_duplicate_pairs, near_duplicate_ranking, near_duplicate_summary, review_queue, duplicate_actions, missing_review_folders, actions_summary_counts,
+        signature_hex, hamming_distance, near_duplicate_pairs, near_duplicate_ranking, near_duplicate_summary, review_queue, review_copies, duplicate_actions, missing_review_folders, actions_summary_counts,
         clean_manifest, removed_manifest, group_pairs, edge_accounting, unsafe_near_pairs, connected_components, component_groups, mixed_label_groups, val_targets,
-        split_mixed_bernoulli, split_first_fit, split_assignment, split_summary, l2_normalized_vectors, fixed_sample, nearest_centroid_assignment, lloyd_step, kmeans_fit_sizes,
-        k_diagnostics, select_k, silhouette_by_label, adjusted_rand_index, cluster_sizes_relabelled, label_composition, label_cluster_distribution, cluster_summary,
+        split_mixed_bernoulli, split_first_fit, split_assignment, split_summary, l2_normalized_vectors, fixed_sample, nearest_centroid_assignment, lloyd_step, kmeans_fit_sizes, kmeans_check,
+        k_diagnostics, k_diagnostics_check, select_k, select_k_rule, silhouette_by_label, adjusted_rand_index, cluster_sizes_relabelled, label_composition, label_cluster_distribution, cluster_summary,
         cluster_representatives, validation_coverage, valid_embedding_rows, cache_staleness, macro_f1, ordered_submission,
     ]
     named = {f.__name__: f for f in plain}

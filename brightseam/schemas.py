@@ -1,4 +1,4 @@
-"""Column lists of the pipeline's tables, in their contractual order."""
+"""Column lists of the pipeline's tables, in their contractual order; fixed values."""
 
 MANIFEST = ["image_id", "path", "current_label", "class_name", "review_status", "reason"]
 TABLES = {
@@ -22,5 +22,6 @@ TABLES = {
     "cluster_representative_images": ["cluster_id", "split", "path", "label", "distance_to_centroid", "rank", "representative_type"],
     "validation_coverage": ["cluster_id", "train_count", "train_proportion", "val_count", "val_proportion", "coverage_note"],
 }
+TABLES["overrides"] = ["path", "review_status", "reason", "decision"]
 LABELS = ["0", "1", "2"]
 UNREADABLE = "unreadable"

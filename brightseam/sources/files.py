@@ -2,26 +2,39 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..errors import ContractError, MissingInputError
+from ..operators.components import number_by
 from ..schemas import TABLES
+from .images import verified_size
 
 
-def require(spark: SparkSession, path: str) -> None:
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of the cluster's storage."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def require(spark: SparkSession, path: str) -> None:
+    if not exists(spark, path):
         raise MissingInputError(path)
 
 
 def read_manifest(spark: SparkSession, path: str, name: str, order: bool = False, exact_header: bool = False) -> DataFrame:
-    """A CSV table of ``TABLES``: all text, missing as empty.  ``order`` adds ``_ord``, the row's place from 0.
+    """A CSV table of ``TABLES``: all text, missing as empty.  ``order`` adds ``_ord``, the row's place from 0: files by name,
+    then rows of the file.
 
     Columns are taken by the header's names.  ``exact_header`` demands the contract's columns in its order; else
     further columns are dropped and missing ones are an error.
@@ -31,11 +44,17 @@ def read_manifest(spark: SparkSession, path: str, name: str, order: bool = False
     raw = spark.read.csv(path, header=True, inferSchema=False, escape='"', multiLine=True)
     if (exact_header and raw.columns != want) or not set(want) <= set(raw.columns):
         raise ContractError(f"{path}: wrong columns", [f"expected {want}", f"found {raw.columns}"])
-    df = raw.select(*want).na.fill("")
     if not order:
-        return df
-    schema = StructType([*[StructField(c, StringType()) for c in want], StructField("_ord", LongType())])
-    return spark.createDataFrame(df.rdd.zipWithIndex().map(lambda x: (*x[0], x[1])), schema)
+        return raw.select(*want).na.fill("")
+    placed = raw.select(*want, F.col("_metadata.file_path").alias("__f"), F.monotonically_increasing_id().alias("__m"))  # grows within a file, which one task reads
+    return number_by(placed, ["__f", "__m"], "_ord").withColumn("_ord", F.col("_ord") - 1).drop("__f", "__m").na.fill("", want)
+
+
+def file_digests(spark: SparkSession, path: str) -> str:
+    """SHA-256 of a file; of a folder, of its files' digests in the order of their names."""
+    f = spark.read.format("binaryFile").option("pathGlobFilter", "[!_.]*").load(path).select("path", F.sha2("content", 256).alias("d"))
+    one = f.agg(F.count(F.lit(1)).alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("path", "d"))), lambda x: x["d"]), "").alias("d")).first()
+    return one["d"] if one["n"] == 1 else hashlib.sha256(one["d"].encode()).hexdigest()
 
 
 def list_files(spark: SparkSession, root: str, keep: int = 3) -> DataFrame:
@@ -46,48 +65,26 @@ def list_files(spark: SparkSession, root: str, keep: int = 3) -> DataFrame:
 
 
 def read_bytes(spark: SparkSession, pattern: str, keep: int = 3) -> DataFrame:
-    """(path, content, sha256)."""
+    """(path, content)."""
     f = spark.read.format("binaryFile").load(pattern)
-    return f.select(F.array_join(F.slice(F.split("path", "/"), -keep, keep), "/").alias("path"), "content", F.sha2("content", 256).alias("sha256"))
+    return f.select(F.array_join(F.slice(F.split("path", "/"), -keep, keep), "/").alias("path"), "content")
 
 
 def image_info(images: DataFrame) -> DataFrame:
-    """(path, width, height, error) of (path, content).  PNG, GIF and JPEG headers are read here; if Pillow is installed it
-    verifies the whole image as well."""
-
-    def size_of(b: bytes) -> tuple[int, int]:
-        if b[:8] == b"\x89PNG\r\n\x1a\n" and len(b) >= 24:
-            return int.from_bytes(b[16:20], "big"), int.from_bytes(b[20:24], "big")
-        if b[:4] == b"GIF8" and len(b) >= 10:
-            return int.from_bytes(b[6:8], "little"), int.from_bytes(b[8:10], "little")
-        if b[:2] == b"\xff\xd8":
-            i = 2
-            while i + 9 <= len(b):
-                if b[i] != 0xFF:
-                    break
-                if b[i + 1] in (0xC0, 0xC1, 0xC2):
-                    return int.from_bytes(b[i + 7 : i + 9], "big"), int.from_bytes(b[i + 5 : i + 7], "big")
-                i += 2 + int.from_bytes(b[i + 2 : i + 4], "big")
-        raise ValueError("cannot identify image file")
+    """(path, sha256, width, height, error) of (path, content), in one pass over the bytes, which go no further.  Pillow verifies a
+    picture where it is installed; else the headers of PNG, GIF and JPEG are read here."""
 
     def run(batches):
-        try:
-            from PIL import Image
-        except ImportError:
-            Image = None  # noqa: N806
         for b in batches:
             out = []
             for c in b["content"]:
                 try:
-                    w, h = size_of(bytes(c))
-                    if Image is not None:
-                        Image.open(io.BytesIO(c)).verify()
-                    out.append((w, h, ""))
+                    out.append((*verified_size(bytes(c)), ""))
                 except Exception as e:  # noqa: BLE001 - any failure belongs to the row
                     out.append((None, None, str(e) or type(e).__name__))
-            yield pd.DataFrame({"path": b["path"], "width": pd.array([o[0] for o in out], "Int32"), "height": pd.array([o[1] for o in out], "Int32"), "error": [o[2] for o in out]})
+            yield pd.DataFrame({"path": b["path"], "sha256": b["sha256"], "width": pd.array([o[0] for o in out], "Int32"), "height": pd.array([o[1] for o in out], "Int32"), "error": [o[2] for o in out]})
 
-    return images.select("path", "content").mapInPandas(run, "path string, width int, height int, error string")
+    return images.select("path", "content", F.sha2("content", 256).alias("sha256")).mapInPandas(run, "path string, sha256 string, width int, height int, error string")
 
 
 def read_npy(spark: SparkSession, pattern: str) -> DataFrame:

@@ -1,14 +1,87 @@
 """Core operators against small tables and plain Python."""
 
+import hashlib
+import json
 import random
+import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from brightseam import schemas
 from brightseam.errors import ContractError, MissingInputError
 from brightseam.functions import dirt, ranking, scalars
-from brightseam.operators import audit, cluster, components, embed, neardup, reports, review, split
-from brightseam.sources import files, sinks
+from brightseam.operators import audit, cluster, components, embed, neardup, reports, review, signatures, split
+from brightseam.sources import files, images, sinks
+
+
+def png(x, filters=(0, 1, 2, 3, 4)):
+    """A PNG of (height, width, channels) bytes, its lines filtered in turn."""
+    h, w, n = x.shape
+    body = b""
+    for y in range(h):
+        kind = filters[y % len(filters)]
+        left = np.vstack((np.zeros((1, n), int), x[y, :-1])).astype(int)
+        up = x[y - 1].astype(int) if y else np.zeros((w, n), int)
+        corner = np.vstack((np.zeros((1, n), int), up[:-1]))
+        p = left + up - corner
+        a, b, c = abs(p - left), abs(p - up), abs(p - corner)
+        guess = [0 * left, left, up, (left + up) // 2, np.where((a <= b) & (a <= c), left, np.where(b <= c, up, corner))][kind]
+        body += bytes([kind]) + ((x[y].astype(int) - guess) & 255).astype(np.uint8).tobytes()
+    chunk = lambda k, d: len(d).to_bytes(4, "big") + k + d + zlib.crc32(k + d).to_bytes(4, "big")
+    head = w.to_bytes(4, "big") + h.to_bytes(4, "big") + bytes([8, {1: 0, 2: 4, 3: 2, 4: 6}[n], 0, 0, 0])
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(body)) + chunk(b"IEND", b"")
+
+
+def scene(seed, side=96):
+    """A smooth picture."""
+    g = np.random.default_rng(seed)
+    x = np.kron(g.integers(0, 256, (6, 6, 3)), np.ones((side // 6, side // 6, 1)))
+    return images.resize(images.resize(x.astype(np.uint8), 12, 12), side, side)
+
+
+def test_pictures(spark):
+    g = np.random.default_rng(1)
+    for n in (1, 2, 3, 4):
+        x = g.integers(0, 256, (11, 9, n)).astype(np.uint8)
+        want = x[:, :, :3] if n > 2 else np.repeat(x[:, :, :1], 3, axis=2)
+        assert np.array_equal(images.rgb(png(x)), want) and images.verified_size(png(x)) == (9, 11)
+    with pytest.raises(ValueError):
+        images.verified_size(png(x)[:-20])
+    flat = np.full((40, 30), 77, np.uint8)
+    assert np.array_equal(images.resize(flat, 8, 9), np.full((9, 8), 77)) and np.array_equal(images.resize(flat, 30, 40), flat)
+    ramp = np.tile(np.arange(0, 256, 4, dtype=np.uint8), (64, 1))
+    assert signatures.gradient_hash(ramp) == "f" * 16 and signatures.gradient_hash(ramp[:, ::-1]) == "0" * 16 and signatures.wavelet_hash(ramp) == "0f" * 8
+    a = scene(3)
+    b = np.clip(a.astype(int) + g.integers(-3, 4, a.shape), 0, 255).astype(np.uint8)
+    df = spark.createDataFrame([("a", png(a)), ("b", png(b)), ("c", png(scene(4))), ("d", b"junk")], "path string, content binary")
+    s = {r["path"]: r for r in signatures.image_signatures(df).collect()}
+    far = lambda x, y: [bin(int(s[x][h], 16) ^ int(s[y][h], 16)).count("1") for h in neardup.HASHES]
+    assert sum(d <= 4 for d in far("a", "b")) >= 2 and sum(d <= 4 for d in far("a", "c")) < 2
+    assert s["d"]["phash"] is None and "identify" in s["d"]["hash_error"]
+
+
+def test_bands_lose_no_pair(spark):
+    """Against all pairs compared, with other limits and votes too."""
+    g = random.Random(2)
+    rows = []
+    for i in range(300):
+        base = rows[g.randrange(len(rows))][1:] if rows and g.random() < 0.7 else [g.getrandbits(64) | 0xFFFF << 48 for _ in range(3)]
+        rows.append((i, *[h ^ sum(1 << g.randrange(48) for _ in range(g.randint(0, 3))) for h in base]))
+    df = spark.createDataFrame([(i, f"p{i}", "0", "c", f"s{i % 290}", *[f"{h & (1 << 64) - 1:016x}" for h in hs]) for i, *hs in rows], "ord int, path string, label string, class_name string, sha256 string, phash string, dhash string, whash string")
+    have = df.collect()
+    for limit, votes in ((4, 2), (2, 1), (6, 3)):
+        got = [(r["path_a"], r["path_b"]) for r in neardup.near_pairs(df, 4, limit, votes).collect()]
+        d = lambda a, b: [bin(int(a[h], 16) ^ int(b[h], 16)).count("1") <= limit for h in neardup.HASHES]
+        want = {(a["path"], b["path"]) for a in have for b in have if a["ord"] < b["ord"] and a["phash"][:4] == b["phash"][:4] and a["sha256"] != b["sha256"] and sum(d(a, b)) >= votes}
+        assert len(got) == len(set(got)) and set(got) == want and want
+
+
+def test_numbers_over_many_ranges(spark):
+    df = spark.createDataFrame([(x, i) for i, x in enumerate([5, None, 3, 10**15, 7, 7] * 40)], "v bigint, i int")
+    got = [r["k"] for r in components.number_by(df, ["v", "i"], "k", rows_per_task=30).orderBy("v", "i").collect()]
+    assert got == list(range(1, 241))
 
 
 def col(spark, values, f, kind="string"):
@@ -98,7 +171,8 @@ def test_review(spark):
     assert review.status_manifest(rows, "remove").count() == 1
     fixed = review.apply_overrides(rows, spark.createDataFrame([("b", "1", "told")], "path string, review_status string, reason string"))
     assert fixed.where("review_status = '1' and reason = 'told'").count() == 1
-    acts = spark.createDataFrame([("f1", "exact", "a", "a", "b", ""), ("f2", "exact", "b", "b", "a", ""), ("f3", "near", "both", "", "", "x|y")], "folder string, type string, decision string, keep_path string, remove_path string, group_paths string")
+    acts = spark.createDataFrame([("f9", "exact", "a", "a", "b", "", 0), ("f2", "exact", "b", "b", "a", "", 1), ("f3", "near", "both", "", "", "x|y", 2), ("f10", "exact", "a", "a", "b", "", 3)], "folder string, type string, decision string, keep_path string, remove_path string, group_paths string, _ord bigint")
+    assert {r["path"]: r["source_folder"] for r in review.last_removal(acts).collect()} == {"a": "f2", "b": "f10"}
     kept = rows.where("trim(path) <> ''").dropDuplicates(["path"])
     assert review.clean_manifest(kept, acts).count() == 0 and review.removed_manifest(kept, acts).count() == 2
     assert [tuple(r)[1:3] for r in review.group_pairs(acts).collect()] == [("x", "y")]
@@ -116,7 +190,7 @@ def test_audit_and_near(spark):
 
 
 def test_reports(spark):
-    a = spark.createDataFrame([("p1", "0", "C00", "0.100000", "train"), ("p2", "1", "C00", "0.300000", "train"), ("p3", "0", "C00", "0.200000", "train"), ("p4", "1", "C01", "0.5", "val")], "path string, label string, cluster_id string, distance_to_centroid string, split string")
+    a = spark.createDataFrame([("p1", "0", "C00", "0.100000", "train", 1), ("p2", "1", "C00", "0.300000", "train", 2), ("p3", "0", "C00", "0.200000", "train", 3), ("p4", "1", "C01", "0.5", "val", 4)], "path string, label string, cluster_id string, distance_to_centroid string, split string, _ord bigint")
     spine = spark.createDataFrame([("C00",), ("C01",), ("C02",)], "cluster_id string")
     s = {r["cluster_id"]: r for r in reports.cluster_summary(a.where("split = 'train'"), a.where("split = 'val'"), spine).collect()}
     assert (s["C00"]["dominant_train_label"], s["C00"]["label_entropy"], s["C00"]["assigned_centroid_distance_median"]) == ("0", "0.636514", "0.200000")
@@ -126,6 +200,8 @@ def test_reports(spark):
     r = reports.representatives(a, 1)
     assert {(x["path"], x["representative_type"]) for x in r.where("split = 'train'").collect()} == {("p1", "nearest"), ("p2", "farthest")}
     assert reports.representatives(a, 0).count() == 0
+    tied = reports.representatives(a.withColumn("distance_to_centroid", F.lit("0.5")).withColumn("_ord", 9 - F.col("_ord")), 1).where("split = 'train'").collect()
+    assert {(x["path"], x["representative_type"]) for x in tied} == {("p3", "nearest"), ("p1", "farthest")}  # ties by place, not by path
     assert reports.macro_f1(spark.createDataFrame([("0", "0"), ("1", "0")], "truth string, guess string"), ["0", "1", "2"]).first()[0] == pytest.approx(0.222222)
 
 
@@ -156,11 +232,23 @@ def test_files(spark, tmp_path):
         files.read_manifest(spark, out, "review_batch")
     (tmp_path / "train" / "0_x").mkdir(parents=True)
     (tmp_path / "train" / "0_x" / "a.png").write_bytes(b"\x89PNG\r\n\x1a\n" + b"\0\0\0\rIHDR" + (7).to_bytes(4, "big") + (5).to_bytes(4, "big"))
+    (tmp_path / "train" / "0_x" / "c.png").write_bytes(png(np.zeros((5, 7, 3), np.uint8)))
     (tmp_path / "train" / "0_x" / "b.jpg").write_bytes(b"junk")
-    assert {r[0] for r in files.list_files(spark, str(tmp_path / "train")).collect()} == {"train/0_x/a.png", "train/0_x/b.jpg"}
+    assert {r[0] for r in files.list_files(spark, str(tmp_path / "train")).collect()} == {"train/0_x/a.png", "train/0_x/b.jpg", "train/0_x/c.png"}
     raw = files.read_bytes(spark, str(tmp_path / "train/*/*"))
     info = {r["path"]: (r["width"], r["height"]) for r in files.image_info(raw).collect()}
+    assert info["train/0_x/a.png"] == (None, None) and info["train/0_x/c.png"] == (7, 5)  # the first ends in its header
     assert info["train/0_x/b.jpg"] == (None, None)
+    assert {r["path"]: r["sha256"] for r in files.image_info(raw).collect()}["train/0_x/b.jpg"] == hashlib.sha256(b"junk").hexdigest()
+    many = spark.range(1000).select(*[F.lit("x").alias(c) if c != "image_id" else F.col("id").cast("string").alias(c) for c in schemas.MANIFEST], "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    sinks.write_table(many.repartition(7), str(tmp_path / "many"), "manifest", order=["id"])
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "many").glob("part-*"))) > 1
+    placed = files.read_manifest(spark, str(tmp_path / "many"), "manifest", order=True).collect()
+    assert sorted((int(r["image_id"]), r["_ord"]) for r in placed) == [(i, i) for i in range(1000)]
+    assert sinks.copy_images(spark.createDataFrame([("exact/1/a.jpg", b"x"), ("exact/1/b.jpg", b"y")], "name string, content binary"), str(tmp_path / "copies")) == 2
+    assert (tmp_path / "copies/exact/1/b.jpg").read_bytes() == b"y"
     queue = spark.createDataFrame([("f", "a", "", "")], "folder string, decision string, guide string, notes string")
     sinks.replace_queue(queue, str(tmp_path / "q"))
     with pytest.raises(ContractError, match="decisions"):
@@ -241,3 +329,71 @@ def test_queries_keep_every_label(spark, tmp_path):
     want = ["0", "0", "2", "2", "1", "unreadable", "unreadable", "unreadable"] * 5
     assert sorted((r["path"], r["label"]) for r in q["train_manifest"] + q["val_manifest"]) == [(f"t/{i:02d}", x) for i, x in enumerate(want)]
     assert any(r["label"] == "unreadable" for r in q["val_manifest"])
+
+
+def test_whole_chain(spark, tmp_path):
+    """Images to splits and clusters by the command line alone."""
+    from brightseam import cli
+
+    out, root = str(tmp_path), tmp_path / "train"
+    names = [(f"train/{i % 3}_{n}/{n[0]}_{i}.png", str(i % 3), n) for i in range(18) for n in [("Recyclable", "Electronic", "Organic")[i % 3]]]
+    pictures = [scene(i) for i in range(18)]
+    pictures[5] = pictures[2].copy()  # an exact copy, and a near one
+    pictures[3] = pictures[0].copy()
+    pictures[3][0, 0] ^= 1
+    for (path, _, _), x in zip(names, pictures):
+        (tmp_path / path).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / path).write_bytes(png(x))
+    (tmp_path / names[17][0]).write_bytes(b"junk")
+    rows = [(str(i), p, k, n, "2" if i == 4 else "0", "look again" if i == 4 else "", "") for i, (p, k, n) in enumerate(names)]
+    batch = spark.createDataFrame(rows, "image_id string, path string, current_label string, class_name string, review_status string, reason string, encode string")
+    for i, part in enumerate((batch.where("cast(image_id as int) < 10"), batch.where("cast(image_id as int) >= 10"))):
+        sinks.write_table(part.orderBy(F.col("image_id").cast("int")), f"{out}/b{i}", "review_batch", one_file=True)
+    sinks.write_table(spark.createDataFrame([(names[16][0], "1", "blurred", "exclude"), (names[15][0], "", "", "keep")], "path string, review_status string, reason string, decision string"), f"{out}/o", "overrides")
+    read = lambda where, name: sorted(files.read_manifest(spark, f"{out}/{where}", name, order=True).collect(), key=lambda r: r["_ord"])
+    start = ["make-manifests", "--batch", f"{out}/b0", "--batch", f"{out}/b1", "--images", str(root), "--overrides", f"{out}/o", "--out", f"{out}/m"]
+    with pytest.raises(ContractError, match="expected 11 rows, found 10"):
+        cli.main([*start, "--expected", "11", "--expected", "8"])
+    cli.main([*start, "--expected", "10", "--expected", "8"])
+    keep = [r["path"] for r in read("m/keep_manifest", "manifest")]
+    assert keep == [p for i, (p, _, _) in enumerate(names) if i != 16] and [r["path"] for r in read("m/remove_manifest", "manifest")] == [names[16][0]]
+    assert len(read("m/review_decisions_merged", "review_batch")) == 18 and len(read("m/exact_duplicate_decisions", "exact_duplicate_decisions")) == 2
+    cli.main(["audit", "--manifest", f"{out}/m/keep_manifest", "--images", str(root), "--out", f"{out}/a"])
+    told = json.loads((tmp_path / "a/audit_summary.json").read_text())
+    assert (told["total"], told["corrupt"], told["exact_groups"], told["most_common_sizes"]) == (17, 1, 1, [{"width": 96, "height": 96, "count": 16}]) and told["class_counts"] == {"0": 6, "1": 5, "2": 6}
+    cli.main(["signatures", "--images", str(root), "--out", f"{out}/a"])
+    cli.main(["near-duplicates", "--audit", f"{out}/a/image_audit", "--signatures", f"{out}/a/signatures", "--out", f"{out}/a"])
+    near = read("a/near_duplicate_pairs", "near_duplicate_pairs")
+    assert (names[0][0], names[3][0]) in [(r["path_a"], r["path_b"]) for r in near]
+    assert json.loads((tmp_path / "a/near_duplicate_summary.json").read_text())["images_hashed"] == 16
+    pair = ["--exact", f"{out}/a/exact_duplicates", "--near", f"{out}/a/near_duplicate_pairs"]
+    cli.main(["prepare-review", *pair, "--images", str(root), "--out", f"{out}/r"])
+    queue = read("r/duplicate_review", "duplicate_review")
+    assert queue[0]["folder"] == "duplicate_review/exact/exact_0001" and len(queue) == 1 + len(near)
+    assert (tmp_path / "r/review_images/exact/exact_0001/a__label_same__O_2.png").exists()
+    done = [(r["folder"], "a" if "exact" in r["folder"] else " both ", r["guide"], r["notes"]) for r in queue]
+    sinks.write_table(spark.createDataFrame(done, "folder string, decision string, guide string, notes string"), f"{out}/done", "duplicate_review", one_file=True)
+    cli.main(["apply-review", "--manifest", f"{out}/m/keep_manifest", *pair, "--decisions", f"{out}/done", "--out", f"{out}/c"])
+    clean = [r["path"] for r in read("c/manifest_clean", "manifest")]
+    assert clean == [p for p in keep if p != names[5][0]] and len(read("c/manifest_kept", "manifest")) == 17
+    assert [r["reason"] for r in read("c/dedup_remove_manifest", "dedup_remove_manifest")] == ["removed_by_duplicate_review"]
+    assert f"- Review rows: `{len(queue)}`" in (tmp_path / "c/duplicate_review_summary.md").read_text()
+    cli.main(["split", "--manifest", f"{out}/c/manifest_clean", "--exact-duplicates", f"{out}/a/exact_duplicates", "--group-pairs", f"{out}/c/dedup_group_pairs", "--near-pairs", f"{out}/a/near_duplicate_pairs", "--images", str(root), "--val-fraction", "0.4", "--out", f"{out}/s"])
+    told = json.loads((tmp_path / "s/split_summary.json").read_text())
+    assert told["row_counts"]["total"] == 16 and told["constraint_counts"]["dedup_group_pairs_retained"] == len(near) and len(told["source_manifest_sha256"]) == 64
+    train, val = ([r["path"] for r in read(f"s/{x}_manifest", "manifest")] for x in ("train", "val"))
+    assert sorted(train + val) == sorted(clean) and train == [p for p in clean if p in train]
+    for x in ("train", "val"):
+        args = ["extract-embeddings", "--manifest", f"{out}/s/{x}_manifest", "--images", str(root), "--split", x, "--input-size", "32", "--out", f"{out}/e"]
+        cli.main(args)
+        cli.main(args)  # those in place belong to the manifest
+    rows = read("e/train_embedding_manifest", "embedding_manifest") + read("e/val_embedding_manifest", "embedding_manifest")
+    assert [r["path"] for r in rows if r["valid_embedding"] == "0"] == [names[17][0]] and rows[0]["embedding_row"] == "0"
+    with pytest.raises(ContractError, match="stale"):
+        cli.main(["extract-embeddings", "--manifest", f"{out}/s/val_manifest", "--images", str(root), "--split", "train", "--out", f"{out}/e"])
+    cli.main(["cluster-diagnostics", "--train", f"{out}/e/train_embeddings", "--val", f"{out}/e/val_embeddings", "--train-manifest", f"{out}/s/train_manifest", "--train-embedding-manifest", f"{out}/e/train_embedding_manifest", "--images", str(root), "--candidate-k", "2,3", "--final-n-init", "2", "--tiny-cluster-threshold", "1", "--out", f"{out}/k"])
+    told = json.loads((tmp_path / "k/cluster_config.json").read_text())
+    assert told["k"] in (2, 3) and told["source_train_manifest_fingerprint"][:8] in told["cluster_system_version"] and told["selected_k_rationale"]
+    assert np.load(tmp_path / "k/centroids.npy").shape == (told["k"], 192)
+    assert all(len(r["inertia_mean"].split(".")[1]) == 6 for r in read("k/k_diagnostics", "k_diagnostics"))
+    assert [r["path"] for r in read("k/train_cluster_assignments", "cluster_assignments")] == [p for p in train if p != names[17][0]]
