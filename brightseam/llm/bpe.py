@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 import os
 from functools import lru_cache
 
@@ -149,3 +150,16 @@ def token_counts(docs: DataFrame, key: str, text: str, path: str) -> DataFrame:
 
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode_column(table(spark, folder, "documents"), "doc_id", "text", vocabulary_path("byte_bpe_50k"))
+
+
+def p8_check(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, sha256) of the text that each document's ids spell; of no ids, that of the empty text."""
+    path = vocabulary_path("byte_bpe_50k")
+
+    def spell(batches):
+        parts = {i: b for b, i in tokenizer(path).ranks.items()}
+        for b in batches:
+            got = [hashlib.sha256(b"".join(parts[i] for i in ids)).hexdigest() for ids in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.string())], ["doc_id", "sha256"])
+
+    return p8_ids(spark, folder).mapInArrow(spell, "doc_id bigint, sha256 string")

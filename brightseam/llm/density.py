@@ -197,3 +197,13 @@ def p5_clusters(spark: SparkSession, folder: str, typical: int = 5) -> DataFrame
     top = top.groupBy("cluster").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "path"))), lambda x: x["path"]).alias("typical"))
     count = full.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), *[F.count_if(F.col("label") == k).alias(f"label_{k}") for k in "012"], F.round(F.avg("distance"), 6).alias("mean_distance"))
     return count.join(top, "cluster").join(names, "cluster", "left").select("cluster", "cluster_id", "size", "label_0", "label_1", "label_2", "mean_distance", F.array_join("typical", "|").alias("typical"))
+
+
+def p5_check(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, clusters, fits) of each image: how many clusters it is in, and whether its cluster's name is the one most of the
+    cluster's images carry in the latest run."""
+    found = Scratch(spark, "check").cut(p5_found(spark, folder), "found")
+    earlier = earlier_names(spark, folder).join(known_images(table(spark, folder, "image_audit")).select(F.col("id").alias("image"), "path"), "image")
+    votes = found.join(earlier, "path").groupBy("cluster_id", "name").agg(F.count(F.lit(1)).alias("n"))
+    best = votes.groupBy("cluster_id").agg(F.min(F.struct((-F.col("n")).alias("n"), "name")).alias("b")).select("cluster_id", (F.col("b.name") == F.col("cluster_id")).alias("fits"))
+    return found.join(best, "cluster_id").groupBy("path").agg(F.count(F.lit(1)).alias("clusters"), F.min("fits").alias("fits"))

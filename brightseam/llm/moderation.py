@@ -13,7 +13,7 @@ from typing import Any
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dirt import strip
@@ -475,11 +475,23 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return p10_scores(spark, folder).where(F.col("score") >= THRESHOLD).select("doc_id")
 
 
+def source_name(c: Column) -> Column:
+    """A source's name however it is written; ``unknown`` for none."""
+    name = F.regexp_replace(F.lower(strip(c)), r"[\s-]+", "_")
+    return F.coalesce(F.nullif(name, F.lit("")), F.lit("unknown"))
+
+
 def p10_rates(spark: SparkSession, folder: str) -> DataFrame:
     """Documents, cases and their rate of each source, however its name is written."""
-    name = F.regexp_replace(F.lower(strip(F.col("source"))), r"[\s-]+", "_")
-    docs = table(spark, folder, "documents").select("doc_id", F.when(name != "", name).otherwise(F.lit("unknown")).alias("source"))
-    docs = docs.withColumn("source", F.coalesce("source", F.lit("unknown")))
+    docs = table(spark, folder, "documents").select("doc_id", source_name(F.col("source")).alias("source"))
     scores = Scratch(spark, "scores").cut(p10_scores(spark, folder).select("doc_id", "score"), "scores")
     g = docs.join(scores, "doc_id").groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.count_if(F.col("score") >= THRESHOLD).alias("cases"))
     return g.withColumn("rate", F.round(F.col("cases") / F.col("documents"), 6))
+
+
+def p10_check(spark: SparkSession, folder: str) -> DataFrame:
+    """(source, documents, odd) of the scores: every document has one from 0 to 1, not less than the chance of any one class, and 0 if it has no text."""
+    docs = table(spark, folder, "documents").select("doc_id", source_name(F.col("source")).alias("source"), (F.col("text").isNull() | (F.col("text") == "")).alias("none"))
+    j = docs.join(p10_scores(spark, folder), "doc_id", "left")
+    good = F.col("score").between(0, 1) & (F.col("score") >= F.greatest("abuse", "hate", "sexual") - 1e-6) & (~F.col("none") | (F.col("score") == 0))
+    return j.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.count_if(~F.coalesce(good, F.lit(False))).alias("odd"))

@@ -330,3 +330,14 @@ def p7_neighbours(spark: SparkSession, folder: str, k: int = 5) -> DataFrame:
     rest = scratch.cut(vectors.where("row % 50 = 0").join(full, "row", "left_anti"), "rest")
     out = near.join(full.select("row"), "row", "left_semi").unionByName(exact_scan(rest, vectors, k))
     return out.select("row", "other", F.round("similarity", 4).alias("similarity"), "rank")
+
+
+def p7_check(spark: SparkSession, folder: str, k: int = 5) -> DataFrame:
+    """(row, found, near): rows divisible by 50, how many neighbours each has, and how many of them are as similar as its k-th most
+    similar of all rows, to 4 places."""
+    scratch = Scratch(spark, "check")
+    vectors = scratch.cut(valid_vectors(spark, folder), "vectors")
+    got = p7_neighbours(spark, folder, k)
+    least = exact_scan(vectors.where("row % 50 = 0"), vectors, k).groupBy("row").agg(F.min("similarity").alias("least"))
+    j = got.join(least, "row").withColumn("near", F.col("similarity") >= F.round("least", 4) - 1.5e-4)
+    return j.groupBy("row").agg(F.count(F.lit(1)).alias("found"), F.count_if("near").alias("near"))

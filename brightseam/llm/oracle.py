@@ -122,7 +122,17 @@ def oracle_sql() -> dict[str, str]:
         "seat as (select *, row_number() over (partition by request_id order by case when k <= m then 0 else 1 end, case when s > 0 then (k - 0.5) / s else 1e300 end, label) seat from (select *, unnest(range(1, available + 1)) k from t) where k <= m or s > 0), "
         "got as materialized (select request_id, label, count(*) taken from seat where seat <= z group by 1, 2), report as (select t.*, coalesce(taken, 0) taken from t left join got using (request_id, label)) "
     )
+    usable = (
+        f"usable as (select distinct embedding_row r from image_vectors where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64 and len(list_filter(embedding, lambda x: x <> 0)) > 0), "
+        f"rows_of as (select distinct {row_no} r, {key('path')} k from embedding_manifest where {valid})"
+    )
+    name = f"coalesce(nullif(regexp_replace(lower({strip('source')}), '[\\s-]+', '_', 'g'), ''), 'unknown')"
     return {
+        "p5_check": f"with {KNOWN}, {usable} select distinct path, 1::bigint clusters, true fits from rows_of join usable using (r) join known using (k)",
+        "p7_check": f"with {usable} select distinct r as \"row\", 5::bigint as found, 5::bigint near from rows_of join usable using (r) where r % 50 = 0 and (select count(distinct r) from rows_of join usable using (r)) > 5",
+        "p8_check": "select doc_id, sha256(coalesce(text, '')) sha256 from documents",
+        "p9_check": "select run_name, (select count(*) from documents) documents, 0::bigint overfull, 0::bigint divided, 0::bigint broken, true near from (select distinct run_name from container_sizes)",
+        "p10_check": f"select {name} source, count(*) documents, 0::bigint odd from documents group by 1",
         "p1_check": p1_check,
         "p3_survivors": p3_rows,
         "p4_report": p4_report,

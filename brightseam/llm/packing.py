@@ -201,3 +201,16 @@ def p9_usage(spark: SparkSession, folder: str) -> DataFrame:
     size = table(spark, folder, "container_sizes").select("run_name", "capacity_tokens").distinct()
     used = p9_containers(spark, folder).groupBy("run_name").agg(F.count_distinct("container").alias("containers"), F.sum("tokens").alias("tokens"))
     return used.join(size, "run_name").select("run_name", "containers", "tokens", F.round(1 - F.col("tokens") / (F.col("containers") * F.col("capacity_tokens")), 6).alias("unused"))
+
+
+def p9_check(spark: SparkSession, folder: str) -> DataFrame:
+    """(run_name, documents, overfull, divided, broken, near) of each run: its documents; containers above the capacity; documents divided though
+    they fit, or whose pieces don't follow each other from 0; and whether there are at most 2 % and one container more than the tokens fill."""
+    size = table(spark, folder, "container_sizes").select("run_name", "capacity_tokens").distinct()
+    rows = Scratch(spark, "check").cut(p9_containers(spark, folder), "rows")
+    docs = rows.groupBy("run_name", "doc_id").agg(F.sum("tokens").alias("n"), F.count(F.lit(1)).alias("pieces"), F.max("piece").alias("last")).join(size, "run_name")
+    d = docs.groupBy("run_name").agg(F.count(F.lit(1)).alias("documents"), F.count_if((F.col("pieces") > 1) & (F.col("n") <= F.col("capacity_tokens"))).alias("divided"), F.count_if(F.col("last") + 1 != F.col("pieces")).alias("broken"))
+    boxes = rows.groupBy("run_name", "container").agg(F.sum("tokens").alias("n")).join(size, "run_name")
+    c = boxes.groupBy("run_name").agg(F.count_if(F.col("n") > F.col("capacity_tokens")).alias("overfull"), F.count(F.lit(1)).alias("boxes"), F.sum("n").alias("n"), F.first("capacity_tokens").alias("cap"))
+    near = F.col("boxes") <= F.ceil(F.col("n") / F.col("cap")) * 1.02 + 1
+    return d.join(c, "run_name").select("run_name", "documents", "overfull", "divided", "broken", near.alias("near"))
