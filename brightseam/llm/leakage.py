@@ -11,22 +11,24 @@ from .images import image_id, pair_edges, table
 from .survivors import latest_rows
 
 
-def set_classes(side: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, DataFrame]:
+def set_classes(side: DataFrame, scratch: Scratch, name: str, keep: tuple[str, ...] | None = None) -> tuple[DataFrame, DataFrame]:
     """(members, classes) of (id, shingles): members are (id, cls), classes (cls, s) with the shingles in order, each once.
 
     Ids with equal sets are one class, named by its least id, so copies, however many, meet others once.  Sets are told apart by
-    two 64-bit hashes.
+    two 64-bit hashes.  With ``keep`` every id has one row, which saves uniting them, and members have these columns too.
     """
-    flat = F.array_sort(F.array_distinct(F.filter(F.flatten(F.collect_list("shingles")), lambda x: x.isNotNull())))
-    sets = side.where("id is not null and shingles is not null").groupBy("id").agg(flat.alias("s")).where("size(s) > 0")
-    sets = scratch.cut(sets.select("id", "s", F.xxhash64("s").alias("h"), F.xxhash64("s", F.lit(1)).alias("g")), f"{name}-sets")
+    each = lambda c: F.array_sort(F.array_distinct(F.filter(c, lambda x: x.isNotNull())))
+    sets = side.where("id is not null and shingles is not null")
+    sets = sets.groupBy("id").agg(each(F.flatten(F.collect_list("shingles"))).alias("s")) if keep is None else sets.select("id", *keep, each(F.col("shingles")).alias("s"))
+    sets = sets.where("size(s) > 0").select("id", *(keep or ()), "s", F.xxhash64("s").alias("h"), F.xxhash64("s", F.lit(1)).alias("g"))
+    sets = scratch.cut(sets, f"{name}-sets")
     classes = scratch.cut(sets.groupBy("h", "g").agg(F.min("id").alias("cls"), F.first("s").alias("s")), f"{name}-classes")
-    return sets.select("id", "h", "g").join(classes.select("h", "g", "cls"), ["h", "g"]).select("id", "cls"), classes.select("cls", "s")
+    return sets.drop("s").join(classes.select("h", "g", "cls"), ["h", "g"]).select("id", *(keep or ()), "cls"), classes.select("cls", "s")
 
 
-def overlapping_classes(held_out: DataFrame, train: DataFrame, threshold: float = 0.8) -> tuple[DataFrame, DataFrame, DataFrame]:
+def overlapping_classes(held_out: DataFrame, train: DataFrame, threshold: float = 0.8, keep: tuple[str, ...] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(pairs, eval members, train members): pairs (eval_class, train_class, overlap, eval_size, train_size) with Jaccard
-    similarity of ``threshold`` or more, and (id, cls) of each side.
+    similarity of ``threshold`` or more, and (id, cls) of each side; ``keep`` as in ``set_classes``.
 
     Both inputs: (id bigint, shingles array<bigint>).  Exact.  Shingles are put in one order, the rarest among the
     held-out classes first; of a set of n only the first n - ceil(t n) + 1 can be the first shared with a partner
@@ -39,8 +41,8 @@ def overlapping_classes(held_out: DataFrame, train: DataFrame, threshold: float
         raise ValueError("threshold must be in (0, 1]")
     scratch = Scratch(held_out.sparkSession, "overlap")
     t = F.lit(float(threshold))
-    ev_members, ev = set_classes(held_out, scratch, "eval")
-    tr_members, tr = set_classes(train, scratch, "train")
+    ev_members, ev = set_classes(held_out, scratch, "eval", keep)
+    tr_members, tr = set_classes(train, scratch, "train", keep)
     rare = scratch.cut(ev.select(F.explode("s").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("f")), "rare")
 
     def ranked(classes: DataFrame) -> DataFrame:
@@ -106,12 +108,10 @@ def image_overlaps(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFra
     images, evidence = image_evidence(spark, folder)
     evidence = evidence.join(images.select("id", "in_train", (F.col("in_val") | F.col("in_test")).alias("in_eval")), "id")
     # each piece is a set of its own, so a piece's id stands for an image and what kind of piece it is
-    evidence = scratch.cut(evidence.distinct().withColumn("piece", F.xxhash64("id", "shingles")), "pieces")
-    sets = F.col("piece").alias("id"), F.col("shingles")
-    pairs, ev, tr = overlapping_classes(evidence.where("in_eval").select(*sets), evidence.where("in_train").select(*sets), 1.0)
-    of = evidence.select("piece", F.col("id").alias("image"), "listed")
-    ev, tr = (m.join(of, m["id"] == of["piece"]).select(F.col("image").alias("id"), "listed", "cls") for m in (ev, tr))
-    return images, scratch.cut(pairs.select("eval_class", "train_class"), "pairs"), scratch.cut(ev, "eval"), scratch.cut(tr, "train")
+    evidence = scratch.cut(evidence.distinct().withColumn("image", F.col("id")).withColumn("id", F.xxhash64("id", "shingles")), "pieces")
+    pairs, ev, tr = overlapping_classes(evidence.where("in_eval"), evidence.where("in_train"), 1.0, ("image", "listed"))
+    ev, tr = (m.select(F.col("image").alias("id"), "listed", "cls") for m in (ev, tr))
+    return images, scratch.cut(pairs.select("eval_class", "train_class"), "pairs"), ev, tr
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -168,8 +168,8 @@ def p4_texts(spark: SparkSession, folder: str, threshold: float = 0.8) -> DataFr
     docs = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), image_id(F.col("image_path")).alias("image"), "text").where("image is not null and text is not null")
     words = scratch.cut(docs.join(man, "image").select("id", "in_train", "in_eval", text_words(F.col("text")).alias("words")), "words")
     docs = scratch.cut(words.where("size(words) > 0").select("id", "in_train", "in_eval", word_shingles("words").alias("shingles")), "docs")
-    pairs, ev, tr = overlapping_classes(docs.where("in_eval").select("id", "shingles"), docs.where("in_train").select("id", "shingles"), threshold)
+    pairs, ev, tr = overlapping_classes(docs.where("in_eval"), docs.where("in_train"), threshold, ("in_train",))
     size = tr.groupBy(F.col("cls").alias("train_class")).agg(F.count(F.lit(1)).alias("n"))
     links = pairs.join(size, "train_class").groupBy("eval_class").agg(F.sum("n").alias("n"))
-    j = ev.join(links, ev["cls"] == links["eval_class"], "left").join(docs.select("id", F.col("in_train").cast("int").alias("own")), "id")
+    j = ev.join(links, ev["cls"] == links["eval_class"], "left").withColumn("own", F.col("in_train").cast("int"))
     return j.select(F.col("id").alias("doc_id"), F.col("cls").alias("class_id"), (F.coalesce("n", F.lit(0)) - F.when(F.col("n").isNotNull(), F.col("own")).otherwise(0)).cast("bigint").alias("links"))
